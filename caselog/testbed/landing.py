@@ -1 +1,449 @@
-"""Queries."""
+"""Queries for sources, landing and sinks. Files are written to the shared folder first."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from caselog.operators.aggregates import precompute
+from caselog.plans.staging import project_studies, stage_studies
+from caselog.sources import manifest, readers, sinks
+from caselog.sources.schemas import DESCRIPTOR_XML, OUTCOME_CODES, OUTCOME_ROWS, shape
+from caselog.sources.selection import change_window, cohort
+from caselog.sources.storage import new_folder
+from caselog.streaming.landing import land, landed
+from caselog.testbed.adapters import (
+    landed_part_rows,
+    partition_index,
+    study_log,
+    table,
+    vocabulary_log,
+)
+from caselog.testbed.registry import query
+from caselog.testbed.sql import PART_FILES, STUDIES, VOCABULARY, iso, with_
+from pyspark.sql.types import LongType, StringType
+
+EVENT_SCHEMA = shape(
+    {
+        "event_id": LongType(),
+        "ts": StringType(),
+        "user_id": LongType(),
+        "event_type": StringType(),
+        "props": StringType(),
+    }
+)
+LATE = "2024-01-20"
+DOCUMENT_ROWS = 2_000
+
+
+def events_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select(
+        "event_id",
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"),
+        "user_id",
+        "event_type",
+        "props",
+    )
+
+
+def write_lines(df: DataFrame, path: str) -> None:
+    """Add gzipped JSON files to a folder."""
+    df.write.mode("append").json(path, compression="gzip")
+
+
+def land_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[int]]:
+    """Land the early files, land again, add the late ones and land a third time. Gives the landed
+    table, and the number of files in the folder at the first and the last load."""
+    source, out, checkpoint = (new_folder(spark, n) for n in ("events-in", "events-out", "events-ck"))
+    events = events_as_text(spark, sf_dir)
+    files = []
+
+    def load(run_id: str) -> None:
+        land(spark, source, EVENT_SCHEMA, out, checkpoint, glob="*.json.gz", run_id=run_id)
+        listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.json.gz").load(source)
+        files.append(listed.select("path").count())
+
+    write_lines(events.where(F.col("ts") < LATE), source)
+    load("run-1")
+    load("run-2")
+    write_lines(events.where(F.col("ts") >= LATE), source)
+    load("run-3")
+    return landed(spark, out, EVENT_SCHEMA), files
+
+
+@query(
+    "land_incremental",
+    f"""
+select event_id, {iso("ts")} as ts, user_id, event_type, props,
+  case when ts < timestamp '{LATE}' then 'run-1' else 'run-3' end as batch_id from events""",
+)
+def land_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = land_events(spark, sf_dir)
+    return rows.select("event_id", "ts", "user_id", "event_type", "props", F.col("_batch_id").alias("batch_id"))
+
+
+@query(
+    "land_stamp",
+    f"""
+select case when ts < timestamp '{LATE}' then 'run-1' else 'run-3' end as batch_id, count(*) as n_rows,
+  true as every_file, 1::bigint as n_load_times, 0::bigint as n_unstamped from events group by 1""",
+)
+def land_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, files = land_events(spark, sf_dir)
+    expected = F.when(F.col("batch_id") == "run-1", files[0]).otherwise(files[-1] - files[0])
+    return (
+        rows.groupBy(F.col("_batch_id").alias("batch_id"))
+        .agg(
+            F.count("*").alias("n_rows"),
+            F.countDistinct("_source_file").alias("n_files"),
+            F.countDistinct("_loaded_at").alias("n_load_times"),
+            F.count_if(F.col("_loaded_at").isNull() | F.col("_source_file").isNull()).alias("n_unstamped"),
+        )
+        .select("batch_id", "n_rows", (F.col("n_files") == expected).alias("every_file"), "n_load_times", "n_unstamped")
+    )
+
+
+@query(
+    "scan_ndjson",
+    f"""select event_id, {iso("ts")} as ts, user_id, event_type, props from events""",
+)
+def scan_ndjson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "ndjson")
+    events = events_as_text(spark, sf_dir)
+    write_lines(events, path)
+    # A second set of files under another extension, which the name pattern leaves out.
+    events.write.mode("append").json(path)
+    return readers.scan_ndjson(spark, path, EVENT_SCHEMA, "*.json.gz").drop("_corrupt_record")
+
+
+@query("scan_parquet", "select p_partkey, p_name, p_type from part")
+def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = shape({"p_partkey": LongType(), "p_name": StringType(), "p_type": StringType()})
+    return readers.scan_parquet(spark, sf_dir, schema, "part.parquet")
+
+
+@query(
+    "seed_outcomes",
+    """
+with codes as (select case when l_quantity::int % 8 between 1 and 6 then (l_quantity::int % 8)::varchar end as c, count(*) as n
+  from lineitem group by 1)
+select c as outcome_code, case c when '1' then 'Recovered/resolved' when '2' then 'Recovering/resolving'
+  when '3' then 'Not recovered/not resolved' when '4' then 'Recovered/resolved with sequelae' when '5' then 'Fatal'
+  when '6' then 'Unknown' end as outcome_label, n from codes where c is not null""",
+)
+def seed_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "seed")
+    spark.createDataFrame(OUTCOME_ROWS, OUTCOME_CODES).write.option("header", True).csv(path)
+    seed = readers.read_seed(spark, path, OUTCOME_CODES)
+    code = F.expr("if(cast(l_quantity as int) % 8 between 1 and 6, cast(cast(l_quantity as int) % 8 as string), null)")
+    used = table(spark, sf_dir, "lineitem").groupBy(code.alias("outcome_code")).agg(F.count("*").alias("n"))
+    return used.join(F.broadcast(seed), "outcome_code").select("outcome_code", "outcome_label", "n")
+
+
+@query(
+    "schema_drift",
+    f"""
+select 'extra.k' as path, null::varchar as declared_type, 'bigint' as found_type, count(*) as n_rows
+  from events where ts >= timestamp '{LATE}'
+union all select 'gone', 'string', null, 0
+union all select 'user_id', 'string', 'bigint', count(*) from events""",
+)
+def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "drift")
+    events = events_as_text(spark, sf_dir)
+    write_lines(events.where(F.col("ts") < LATE), path)
+    late = events.where(F.col("ts") >= LATE)
+    write_lines(late.withColumn("extra", F.struct(F.col("event_id").alias("k"))), path)
+    declared = shape(
+        {
+            "event_id": LongType(),
+            "ts": StringType(),
+            "user_id": StringType(),
+            "event_type": StringType(),
+            "props": StringType(),
+            "gone": StringType(),
+        }
+    )
+    drift = readers.schema_drift(spark, path, declared, glob="*.json.gz")
+    merged = readers.read_merged(spark, path, glob="*.json.gz").withColumn("_source_file", F.col("_metadata.file_path"))
+    usage = readers.field_usage(merged, ["extra.k", "user_id"]).groupBy("path").agg(F.sum("n_rows").alias("n_rows"))
+    return drift.join(F.broadcast(usage), "path", "left").select(
+        "path", "declared_type", "found_type", F.coalesce("n_rows", F.lit(0)).alias("n_rows")
+    )
+
+
+@query(
+    "corrupt_rows",
+    f"""
+select case when ts < timestamp '{LATE}' then 'early' else 'late' end as folder, count(*) as n_rows,
+  count_if(event_type = 'error')::bigint as n_corrupt from events group by 1""",
+)
+def corrupt_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source, out, checkpoint = (new_folder(spark, n) for n in ("corrupt-in", "corrupt-out", "corrupt-ck"))
+    line = F.to_json(F.struct("event_id", "ts", "user_id", "event_type", "props"))
+    broken = F.when(F.col("event_type") == "error", F.regexp_replace(line, "}$", "")).otherwise(line)
+    events = events_as_text(spark, sf_dir)
+    for folder, condition in (("early", F.col("ts") < LATE), ("late", F.col("ts") >= LATE)):
+        events.where(condition).select(broken.alias("value")).write.text(f"{source}/{folder}", compression="gzip")
+    land(spark, f"{source}/*", EVENT_SCHEMA, out, checkpoint, glob="*.txt.gz", run_id="run-1")
+    counted = readers.corrupt_rows(landed(spark, out, EVENT_SCHEMA))
+    return counted.groupBy(F.regexp_extract("_source_file", "/(early|late)/", 1).alias("folder")).agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("n_corrupt").alias("n_corrupt")
+    )
+
+
+@query(
+    "envelope_rows",
+    """select o_orderkey::varchar as id, o_orderpriority as priority, [o_orderstatus, o_orderpriority][1] as first_tag,
+'2026-01-05T06:00:00+00:00' as pulled_at from orders""",
+)
+def envelope_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "envelopes")
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("id"),
+        F.col("o_orderpriority").alias("priority"),
+        F.array("o_orderstatus", "o_orderpriority").alias("tags"),
+    )
+    # Documents of bounded expected size, by a hash of the (unique) order key.
+    documents = max(1, orders.count() // DOCUMENT_ROWS)
+    (
+        orders.groupBy(F.pmod(F.xxhash64("id"), F.lit(documents)).alias("document"))
+        .agg(F.collect_list(F.struct("id", "priority", "tags")).alias("results"))
+        .select(F.to_json(F.struct(F.struct("document").alias("meta"), "results")).alias("value"))
+        .write.option("maxRecordsPerFile", 1)
+        .text(path)
+    )
+    schema = shape({"id": StringType(), "priority": StringType(), "tags": [StringType()]})
+    rows = readers.explode_envelope(spark, path, schema, "2026-01-05T06:00:00+00:00", glob="*.txt")
+    return rows.select("id", "priority", F.element_at("tags", 1).alias("first_tag"), F.col("_pulled_at").alias("pulled_at"))
+
+
+@query(
+    "xml_records",
+    with_(
+        VOCABULARY,
+        """select descriptor_ui, descriptor_name, len(tree_numbers)::bigint as n_numbers,
+array_to_string(tree_numbers, '|') as numbers from vocabulary_log where source_file = 'desc-a'""",
+    ),
+)
+def xml_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "xml")
+    numbers = F.col("tree_numbers")
+    (
+        vocabulary_log(spark, sf_dir)
+        .where(F.col("_source_file") == "desc-a")
+        .select(
+            F.col("descriptor_ui").alias("DescriptorUI"),
+            F.struct(F.col("descriptor_name").alias("String")).alias("DescriptorName"),
+            F.when(F.size(numbers) > 0, F.struct(numbers.alias("TreeNumber"))).alias("TreeNumberList"),
+        )
+        .write.format("xml")
+        .option("rootTag", "DescriptorRecordSet")
+        .option("rowTag", "DescriptorRecord")
+        .save(path)
+    )
+    rows = readers.descriptors_from_xml(spark, path, DESCRIPTOR_XML, "2025-11-20T06:00:00+00:00")
+    return rows.select(
+        "descriptor_ui",
+        "descriptor_name",
+        F.size("tree_numbers").alias("n_numbers"),
+        F.array_join("tree_numbers", "|").alias("numbers"),
+    )
+
+
+@query(
+    "manifest_plan",
+    with_(
+        PART_FILES,
+        """
+, quarters as (select distinct year, quarter from part_index where year is not null order by 1 desc, 2 desc limit 3),
+planned as (select i.*, row_number() over (partition by year, quarter order by file) as part_no
+  from part_index i join quarters using (year, quarter) qualify part_no <= 2)
+select 'planned' as kind, file, year, quarter, part_no, records from planned
+union all select 'undated', file, null, null, null, records from part_index where year is null
+union all select 'total', null, null, null, count(*), sum(records)::bigint from planned""",
+    ),
+)
+def manifest_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = partition_index(spark, sf_dir)
+    plan = manifest.plan_parts(index, newest=3, parts=2)
+    columns = ["kind", "file", "year", "quarter", "part_no", "records"]
+    nothing = F.lit(None).cast("int")
+    undated = manifest.undated_parts(index).select(
+        F.lit("undated").alias("kind"), "file", nothing.alias("year"), nothing.alias("quarter"), nothing.alias("part_no"), "records"
+    )
+    total = manifest.plan_totals(plan).select(
+        F.lit("total").alias("kind"),
+        F.lit(None).cast("string").alias("file"),
+        nothing.alias("year"),
+        nothing.alias("quarter"),
+        F.col("n_parts").cast("int").alias("part_no"),
+        "records",
+    )
+    return plan.withColumn("kind", F.lit("planned")).select(*columns).unionByName(undated).unionByName(total)
+
+
+@query(
+    "manifest_reconcile",
+    with_(
+        PART_FILES,
+        """
+, landed as (select file, count(*) as written from part_files
+  where not (strftime(day, '%Y-%m') = '1997-05' or (strftime(day, '%Y-%m') = '1996-03' and o_orderstatus = 'O')) group by 1),
+present as (select file from part_index where year = 1995),
+c as (select i.file, i.records, case when p.file is null then coalesce(written, 0) end as written,
+  case when p.file is not null then 'already present' when written = i.records then 'ok' else 'MISMATCH' end as status
+  from part_index i left join landed l on l.file = i.file left join present p on p.file = i.file)
+select file, records, written, status from c
+union all select 'total', sum(records)::bigint, sum(written)::bigint,
+  count_if(status = 'MISMATCH') || ' mismatches, ' || sum(case when status = 'already present' then records end) || ' already present'
+from c""",
+    ),
+)
+def manifest_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = partition_index(spark, sf_dir)
+    present = manifest.with_quarter(index).where("year = 1995").select("file")
+    result = manifest.reconcile_parts(index, landed_part_rows(spark, sf_dir), present)
+    totals = manifest.reconcile_totals(result).select(
+        F.lit("total").alias("file"),
+        F.col("plan_total").alias("records"),
+        "written",
+        F.concat(
+            F.col("n_mismatch").cast("string"), F.lit(" mismatches, "), F.col("already_present").cast("string"), F.lit(" already present")
+        ).alias("status"),
+    )
+    return result.unionByName(totals)
+
+
+@query(
+    "change_window",
+    with_(
+        STUDIES,
+        """
+select nct_id, source_file, (o_orderdate::date + 20 * v::int)::varchar as last_update_post_date, w as window_name
+from study_log join (values ('half year', date '1996-01-01', date '1996-06-30'), ('open', date '2001-01-01', date '9999-01-01')) as t(w, d1, d2)
+  on o_orderdate::date + 20 * v::int between d1 and d2""",
+    ),
+)
+def change_window_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    studies = project_studies(study_log(spark, sf_dir)).select(
+        "nct_id", F.col("_source_file").alias("source_file"), "last_update_post_date"
+    )
+    half = change_window(studies, "last_update_post_date", "1996-01-01", "1996-06-30")
+    opened = change_window(studies, "last_update_post_date", "2001-01-01", "MAX")
+    return half.withColumn("window_name", F.lit("half year")).unionByName(opened.withColumn("window_name", F.lit("open")))
+
+
+@query(
+    "cohort_filter",
+    with_(
+        STUDIES,
+        """select nct_id, o_orderpriority as official_title from studies
+where o_orderstatus <> 'O' and substr(o_orderpriority, 1, 1) in ('2', '3', '4') and o_custkey % 3 = 0""",
+    ),
+)
+def cohort_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    studies = stage_studies(study_log(spark, sf_dir))
+    return cohort(studies, "INTERVENTIONAL", ["PHASE2", "PHASE3"], "cancer").select("nct_id", "official_title")
+
+
+# Sinks
+
+
+SHIPPED_SQL = "select l_shipdate::date::varchar as day, l_returnflag, count(*) as n from lineitem group by all"
+
+
+def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
+        table(spark, sf_dir, "lineitem")
+        .groupBy(F.col("l_shipdate").cast("date").alias("day"), "l_returnflag")
+        .agg(F.count("*").alias("n"))
+    )
+
+
+@query("sink_table", SHIPPED_SQL)
+def sink_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    view = sinks.materialise(shipped(spark, sf_dir), "shipped_view", "view")
+    return sinks.materialise(view, "shipped_table", "table", new_folder(spark, "shipped"))
+
+
+@query(
+    "sink_csv",
+    """select o_orderkey, o_orderdate::date::varchar as day, o_orderpriority, 'a "quoted", text' as note from orders""",
+)
+def sink_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.col("o_orderdate").cast("date").alias("day"),
+        "o_orderpriority",
+        F.lit('a "quoted", text').alias("note"),
+    )
+    return sinks.write_csv(orders, new_folder(spark, "csv"))
+
+
+@query(
+    "sink_ndjson",
+    """select o_orderkey, o_orderstatus as status, case when o_custkey % 5 = 0 then o_orderpriority end as priority from orders""",
+)
+def sink_ndjson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.struct(
+            F.col("o_orderstatus").alias("status"),
+            F.when(F.expr("o_custkey % 5 = 0"), F.col("o_orderpriority")).alias("priority"),
+        ).alias("header"),
+    )
+    back = sinks.write_ndjson(orders, new_folder(spark, "ndjson"))
+    # Through Parquet too, as the vocabulary is landed.
+    columnar = sinks.write_parquet(back, new_folder(spark, "snappy"))
+    return columnar.select("o_orderkey", "header.status", "header.priority")
+
+
+@query(
+    "partition_overwrite",
+    """select o_orderkey, case when o_orderstatus = 'P' then o_custkey + 1000000 else o_custkey end as custkey,
+nullif(o_orderstatus, 'P') as part from orders where not (o_orderstatus = 'P' and o_custkey % 2 = 0)""",
+)
+def partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "partitions")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.col("o_custkey").alias("custkey"),
+        F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("part"),
+    )
+    sinks.overwrite_partitions(orders, path, ["part"])
+    revised = orders.where("part is null and custkey % 2 <> 0").withColumn("custkey", F.col("custkey") + 1_000_000)
+    return sinks.overwrite_partitions(revised, path, ["part"])
+
+
+@query(
+    "clustered_write",
+    """select p_name as drug, l_shipdate::date::varchar as event_date, count(*) as n, sum(l_quantity::int)::bigint as qty
+from lineitem join part on l_partkey = p_partkey group by all""",
+)
+def clustered_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("drug"))
+    lines = (
+        table(spark, sf_dir, "lineitem")
+        .join(parts, "l_partkey")
+        .select(
+            "drug",
+            F.col("l_shipdate").cast("date").alias("event_date"),
+            F.col("l_quantity").cast("int").alias("qty"),
+            "l_orderkey",
+            "l_linenumber",
+        )
+    )
+    files = spark.sparkContext.defaultParallelism
+    clustered = sinks.write_clustered(lines, new_folder(spark, "clustered"), ["drug", "event_date"], files)
+    return clustered.groupBy("drug", "event_date").agg(F.count("*").alias("n"), F.sum("qty").alias("qty"))
+
+
+@query(
+    "precomputed_counts",
+    """select l_returnflag, l_linestatus, count(*) as n, sum(l_quantity::int)::bigint as qty from lineitem group by all""",
+)
+def precomputed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem")
+    aggs = [F.count("*").alias("n"), F.sum(F.col("l_quantity").cast("int")).alias("qty")]
+    return precompute(lines, ["l_returnflag", "l_linestatus"], aggs, new_folder(spark, "counts"))
