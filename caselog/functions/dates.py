@@ -7,8 +7,15 @@ from pyspark.sql import functions as F
 
 
 def partial_date(c: Column) -> Column:
-    """Date from day-precision text, else from month-precision text (first of month), else NULL."""
-    return F.coalesce(F.try_to_date(c, "yyyy-MM-dd"), F.try_to_date(c, "yyyy-MM"))
+    """Date from day-precision text, else from month-precision text (first of month), else NULL.
+
+    Plain text of either form takes a cast, much cheaper than a format; a failed format is the
+    dearest of all, so text too short for both is not tried. The result is that of trying the day
+    format and then the month format.
+    """
+    by_format = F.coalesce(F.try_to_date(c, "yyyy-MM-dd"), F.try_to_date(c, "yyyy-MM"))
+    plain = c.rlike(r"^[0-9]{4}-[0-9]{2}(-[0-9]{2})?\z")
+    return F.when(plain, c.try_cast("date")).when(F.length(c) >= 7, by_format)
 
 
 def date_precision(c: Column) -> Column:
@@ -21,7 +28,8 @@ def date_precision(c: Column) -> Column:
 
 def compact_date(c: Column) -> Column:
     """Date from yyyyMMdd text. Any other text gives NULL, for a not_null check to report."""
-    return F.try_to_date(c, "yyyyMMdd")
+    dashed = F.concat_ws("-", F.substring(c, 1, 4), F.substring(c, 5, 2), F.substring(c, 7, 2))
+    return F.when(c.rlike(r"^[0-9]{8}\z"), dashed.try_cast("date")).otherwise(F.try_to_date(c, "yyyyMMdd"))
 
 
 def pulled_at(c: Column) -> Column:
@@ -31,7 +39,7 @@ def pulled_at(c: Column) -> Column:
 
 def date_key(c: Column) -> Column:
     """yyyyMMdd as an integer."""
-    return F.date_format(c, "yyyyMMdd").cast("int")
+    return F.year(c) * 10_000 + F.month(c) * 100 + F.dayofmonth(c)
 
 
 def calendar_columns(c: Column) -> list[Column]:

@@ -7,6 +7,8 @@ child count once. Arrays thus have a bounded expected size, and no child is drop
 
 from __future__ import annotations
 
+from dataclasses import dataclass, replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,11 +22,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def sliced(rows: DataFrame, key: str, identity: list[Column]) -> DataFrame:
-    """Add _slice: NULL for rows of ordinary keys, a slice number for rows of crowded ones.
+WHOLE = -1
+
+
+@dataclass(frozen=True)
+class Sliced:
+    """Child rows; with crowded keys also a _slice column, WHOLE for the rows of ordinary keys."""
+
+    rows: DataFrame
+    key: str
+    crowded: DataFrame | None
+
+
+def sliced(rows: DataFrame, key: str, identity: list[Column]) -> Sliced:
+    """Cut the rows of crowded keys into slices by a hash of the identity columns.
 
     Crowded keys are found by a count per key (summed in the map tasks first). There are usually
-    none, which is checked, as is their number before they are broadcast.
+    none, which is checked; so is their number before they are broadcast. Beyond that number the
+    rows find their key's slice count by a join that spreads each key over salts.
     """
     crowded = (
         rows.groupBy(key)
@@ -34,7 +49,7 @@ def sliced(rows: DataFrame, key: str, identity: list[Column]) -> DataFrame:
     )
     n_crowded = crowded.limit(HOT_KEYS + 1).count()
     if n_crowded == 0:
-        return rows.withColumn("_slice", F.lit(None).cast("bigint"))
+        return Sliced(rows, key, None)
     row_hash = F.conv(F.substring(F.md5(F.concat_ws("|", *identity)), 1, 8), 16, 10).cast("bigint")
     hashed = rows.withColumn("_hash", row_hash)
     if n_crowded <= HOT_KEYS:
@@ -46,15 +61,51 @@ def sliced(rows: DataFrame, key: str, identity: list[Column]) -> DataFrame:
             .join(crowded.withColumn("_salt", salts), [key, "_salt"], "left")
             .drop("_salt")
         )
-    return joined.withColumn("_slice", F.col("_hash") % F.col("_slices")).drop("_hash", "_slices")
+    slice_no = F.coalesce(F.col("_hash") % F.col("_slices"), F.lit(WHOLE).cast("bigint"))
+    return Sliced(joined.withColumn("_slice", slice_no).drop("_hash", "_slices"), key, crowded)
+
+
+def collected(children: Sliced, items: Column, name: str) -> DataFrame:
+    """Distinct items per key and slice as a sorted array.
+
+    Without crowded keys the rows are spread by key as they are. With them the grouping starts in
+    the map tasks, where copies collapse.
+    """
+    if children.crowded is None:
+        rows, keys = children.rows.repartition(F.col(children.key)), [children.key]
+    else:
+        rows, keys = children.rows, [children.key, "_slice"]
+    grouped = rows.groupBy(*keys).agg(F.sort_array(F.collect_set(items)).alias(name))
+    return grouped if children.crowded is not None else grouped.withColumn("_slice", F.lit(WHOLE).cast("bigint"))
+
+
+def parents_with(parents: DataFrame, parent_key: str, children: Sliced, arrays: DataFrame) -> DataFrame:
+    """Parents with their arrays, one row per slice for crowded ones; those without children stay.
+
+    The slices of a crowded parent are joined one by one, on (key, slice), not all on its key.
+    """
+    if children.crowded is None:
+        return parents.join(arrays, F.col(parent_key) == F.col(children.key), "left")
+    counts = children.crowded.withColumnRenamed(children.key, parent_key)
+    wanted = parents.join(counts, parent_key, "left").withColumn(
+        "_wanted",
+        F.explode(
+            F.when(F.col("_slices").isNull(), F.array(F.lit(WHOLE).cast("bigint"))).otherwise(
+                F.sequence(F.lit(0).cast("bigint"), F.col("_slices") - 1)
+            )
+        ),
+    )
+    matched = (F.col(parent_key) == F.col(children.key)) & (F.col("_wanted") == F.col("_slice"))
+    joined = wanted.join(arrays, matched, "left")
+    return joined.where((F.col("_wanted") == WHOLE) | F.col("_slice").isNotNull()).drop("_wanted", "_slices")
 
 
 def suffix(slice_col: Column) -> Column:
-    return F.coalesce(F.concat(F.lit("-"), slice_col.cast("string")), F.lit(""))
+    return F.when(slice_col >= 0, F.concat(F.lit("-"), slice_col.cast("string"))).otherwise("")
 
 
-def lines_with_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").select(
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_suppkey",
         "l_linenumber",
@@ -63,10 +114,17 @@ def lines_with_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("cents"),
         "l_returnflag",
     )
+
+
+def with_parts(rows: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), "p_name", "p_type", "p_brand"
     )
-    return lines.join(parts, "l_partkey")
+    return rows.join(parts, "l_partkey")
+
+
+def lines_with_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_parts(lines(spark, sf_dir), spark, sf_dir)
 
 
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "qty", "cents", "l_returnflag"]
@@ -169,23 +227,20 @@ def case_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def case_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw case log: drugs and reactions of a case are the lines of its order."""
-    lines = sliced(lines_with_parts(spark, sf_dir), "l_orderkey", [F.col(c) for c in LINE_ORDER])
-    children = lines.groupBy("l_orderkey", "_slice").agg(
-        F.sort_array(F.collect_set(F.struct(*LINE_FIELDS))).alias("lines")
-    )
-    orders = table(spark, sf_dir, "orders").join(
-        children, F.col("o_orderkey") == F.col("l_orderkey"), "left"
-    )
+    children = sliced(lines(spark, sf_dir), "l_orderkey", [F.col(c) for c in LINE_ORDER])
+    children = replace(children, rows=with_parts(children.rows, spark, sf_dir))
+    arrays = collected(children, F.struct(*LINE_FIELDS), "lines")
+    orders = parents_with(table(spark, sf_dir, "orders"), "o_orderkey", children, arrays)
     nested = (
         orders.withColumn("drugs", F.transform("lines", _drug))
         .withColumn("reactions", F.transform("lines", _reaction))
         .selectExpr("*", _REVISIONS)
     )
-    arrays = ", 'drug', coalesce(drugs, array()), 'reaction', coalesce(reactions, array())"
+    children_fields = ", 'drug', coalesce(drugs, array()), 'reaction', coalesce(reactions, array())"
     return nested.select(
         F.concat(F.col("o_orderkey").cast("string"), suffix(F.col("_slice"))).alias("safetyreportid"),
         *[F.expr(e).alias(c) for c, e in _report_columns().items()],
-        F.expr(_PATIENT.format(children=arrays)).alias("patient"),
+        F.expr(_PATIENT.format(children=children_fields)).alias("patient"),
         *_report_landing(),
     )
 
@@ -251,16 +306,12 @@ def study_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def application_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw application log: the whole catalogue twice. A tenth of the suppliers is withdrawn
     from the second batch; some are in it twice."""
-    lines = lines_with_parts(spark, sf_dir).select("l_suppkey", "l_partkey", "p_name")
-    products = (
-        sliced(lines, "l_suppkey", [F.col("l_partkey")])
-        .groupBy("l_suppkey", "_slice")
-        .agg(F.sort_array(F.collect_set(F.struct("l_partkey", "p_name"))).alias("parts"))
-    )
+    parts_sold = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey")
+    children = sliced(parts_sold, "l_suppkey", [F.col("l_partkey")])
+    children = replace(children, rows=with_parts(children.rows, spark, sf_dir))
+    arrays = collected(children, F.struct("l_partkey", "p_name"), "parts")
+    apps = parents_with(table(spark, sf_dir, "supplier"), "s_suppkey", children, arrays)
     batches = "explode(case when s_suppkey % 10 = 0 then array(0) when s_suppkey % 20 = 1 then array(0, 1, 2) else array(0, 1) end) as v"
-    apps = table(spark, sf_dir, "supplier").join(
-        products, F.col("s_suppkey") == F.col("l_suppkey"), "left"
-    )
     items = F.transform(
         "parts",
         lambda p: F.struct(
@@ -303,12 +354,8 @@ def vocabulary_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").select(
         "p_name", F.expr("concat_ws('.', p_type, p_brand, p_size)").alias("tree")
     )
-    grouped = (
-        sliced(parts, "p_name", [F.col("tree")])
-        .groupBy("p_name", "_slice")
-        .agg(F.sort_array(F.collect_set("tree")).alias("trees"))
-        .withColumn("digest", F.md5("p_name"))
-    )
+    grouped = collected(sliced(parts, "p_name", [F.col("tree")]), F.col("tree"), "trees")
+    grouped = grouped.withColumn("digest", F.md5("p_name"))
     years = "explode(if(substr(digest, 2, 1) < '8', array(0, 1), array(0))) as v"
     return grouped.selectExpr("*", years).select(
         F.concat(F.lit("D"), F.substring("digest", 1, 8), suffix(F.col("_slice"))).alias("descriptor_ui"),

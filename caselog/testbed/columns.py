@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselog import functions as fn
@@ -116,23 +116,16 @@ def compact_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     "version_cast",
     with_(
         CASES,
-        """select id as safety_report_id, version::bigint as safety_report_version,
-max(version::varchar) over (partition by id) as greatest_text, max(version) over (partition by id)::bigint as greatest_number
-from (select distinct o_orderkey::varchar as id, version from case_log)""",
+        """select o_orderkey::varchar as safety_report_id, max(version::varchar) as greatest_text,
+max(version)::bigint as greatest_number from case_log group by 1""",
     ),
 )
 def version_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    same = Window.partitionBy("safety_report_id")
-    version = F.col("safety_report_version")
+    version = fn.version_int(F.col("safetyreportversion"))
     return (
         case_headers(spark, sf_dir)
-        .select(F.col("safetyreportid").alias("safety_report_id"), fn.version_int(F.col("safetyreportversion")).alias("safety_report_version"))
-        .select(
-            "safety_report_id",
-            "safety_report_version",
-            F.max(version.cast("string")).over(same).alias("greatest_text"),
-            F.max(version).over(same).alias("greatest_number"),
-        )
+        .groupBy(F.col("safetyreportid").alias("safety_report_id"))
+        .agg(F.max("safetyreportversion").alias("greatest_text"), F.max(version).alias("greatest_number"))
     )
 
 

@@ -194,28 +194,36 @@ def corrupt_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "envelope_rows",
-    """select o_orderkey::varchar as id, o_orderpriority as priority, [o_orderstatus, o_orderpriority][1] as first_tag,
-'2026-01-05T06:00:00+00:00' as pulled_at from orders""",
+    """select o_orderkey::varchar as id, o_orderpriority as priority, o_orderstatus as first_tag, count(*) as copies,
+'2026-01-05T06:00:00+00:00' as pulled_at from orders group by 1, 2, 3""",
 )
 def envelope_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "envelopes")
-    orders = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").cast("string").alias("id"),
-        F.col("o_orderpriority").alias("priority"),
-        F.array("o_orderstatus", "o_orderpriority").alias("tags"),
+    # Copies of a record are counted first, so that a document, made of the records of one hash
+    # value, has a bounded expected size.
+    records = (
+        table(spark, sf_dir, "orders")
+        .groupBy(
+            F.col("o_orderkey").cast("string").alias("id"),
+            F.col("o_orderpriority").alias("priority"),
+            F.array("o_orderstatus", "o_orderpriority").alias("tags"),
+        )
+        .agg(F.count("*").alias("copies"))
     )
-    # Documents of bounded expected size, by a hash of the (unique) order key.
-    documents = max(1, orders.count() // DOCUMENT_ROWS)
+    documents = max(1, table(spark, sf_dir, "orders").count() // DOCUMENT_ROWS)
+    fields = ["id", "priority", "tags", "copies"]
     (
-        orders.groupBy(F.pmod(F.xxhash64("id"), F.lit(documents)).alias("document"))
-        .agg(F.collect_list(F.struct("id", "priority", "tags")).alias("results"))
+        records.groupBy(F.pmod(F.xxhash64(*fields), F.lit(documents)).alias("document"))
+        .agg(F.collect_list(F.struct(*fields)).alias("results"))
         .select(F.to_json(F.struct(F.struct("document").alias("meta"), "results")).alias("value"))
         .write.option("maxRecordsPerFile", 1)
         .text(path)
     )
-    schema = shape({"id": StringType(), "priority": StringType(), "tags": [StringType()]})
+    schema = shape({"id": StringType(), "priority": StringType(), "tags": [StringType()], "copies": LongType()})
     rows = readers.explode_envelope(spark, path, schema, "2026-01-05T06:00:00+00:00", glob="*.txt")
-    return rows.select("id", "priority", F.element_at("tags", 1).alias("first_tag"), F.col("_pulled_at").alias("pulled_at"))
+    return rows.select(
+        "id", "priority", F.element_at("tags", 1).alias("first_tag"), "copies", F.col("_pulled_at").alias("pulled_at")
+    )
 
 
 @query(

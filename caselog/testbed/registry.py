@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from caselog.session import configure
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -30,18 +32,12 @@ def portable(df: DataFrame) -> DataFrame:
     return df.select(*[column(f) for f in df.schema.fields])
 
 
-def pin_session(spark: SparkSession) -> None:
-    """Semantics the operators rely on: ANSI casts, NULL size of a NULL array, UTC."""
-    spark.conf.set("spark.sql.ansi.enabled", "true")
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-
-
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     """Register a query, and the SQL that must give the same rows."""
 
     def register(function: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            pin_session(spark)
+            configure(spark)
             return portable(function(spark, sf_dir))
 
         if name in QUERIES:

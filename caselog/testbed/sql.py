@@ -17,7 +17,7 @@ CASES = (
     + """,
 crowded as (
   select l_orderkey as k, ceil(count(*) / 5000.0)::bigint as slices
-  from line_parts group by 1 having count(*) > 5000
+  from lineitem group by 1 having count(*) > 5000
 ),
 lines as (
   select distinct l.*,
@@ -174,7 +174,7 @@ supplier_lines as (
 ),
 crowded_suppliers as (
   select l_suppkey as k, ceil(count(*) / 5000.0)::bigint as slices
-  from supplier_lines group by 1 having count(*) > 5000
+  from lineitem group by 1 having count(*) > 5000
 ),
 products as (
   select l_suppkey, """

@@ -6,6 +6,8 @@ import os
 
 from pyspark.sql import SparkSession
 
+from caselog.session import configure
+
 
 def make_session(cores: str | None = None, **conf: str) -> SparkSession:
     cores = cores or os.environ.get("BENCH_CPUS", "8")
@@ -16,11 +18,10 @@ def make_session(cores: str | None = None, **conf: str) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.ansi.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
     )
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    configure(spark)
     return spark
