@@ -6,8 +6,6 @@ one value holding a large share of the rows is no hot spot.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,10 +68,41 @@ def has_children(df: DataFrame, key: str, arr: str) -> DataFrame:
     return df.where(has_no_items(F.col(arr))).select(key)
 
 
+def column_checks(df: DataFrame, key: str | None, cols: list[str], table: str) -> DataFrame:
+    """not_null of the columns, and unique of the key if one is given, in a single pass: as
+    (check_name, n_violations) rows.
+
+    The rows are summed per key, then over keys; the fresh result of latest_per_key needs no
+    further shuffle for that.
+    """
+    nulls = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(cols)]
+    if key is None:
+        counts = df.agg(*nulls)
+        cells: list[Column] = []
+    else:
+        per_key = df.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n"), *nulls)
+        repeated = F.count_if(F.col("_key").isNotNull() & (F.col("_n") > 1))
+        sums = [F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"n{i}") for i in range(len(cols))]
+        counts = per_key.agg(repeated.alias("n_repeated"), *sums)
+        cells = [F.lit(f"unique {table}.{key}"), F.col("n_repeated")]
+    for i, c in enumerate(cols):
+        cells += [F.lit(f"not_null {table}.{c}"), F.col(f"n{i}")]
+    return counts.select(F.stack(F.lit(len(cells) // 2), *cells).alias("check_name", "n_violations"))
+
+
+def union_all(frames: list[DataFrame]) -> DataFrame:
+    """Union in halves: a chain of unions is analysed anew at each link."""
+    if len(frames) == 1:
+        return frames[0]
+    middle = len(frames) // 2
+    return union_all(frames[:middle]).unionByName(union_all(frames[middle:]))
+
+
 def summarise(checks: dict[str, DataFrame]) -> DataFrame:
     """One row per check: its name, and how many violations it found."""
-    counted = [
-        violations.agg(F.count("*").alias("n_violations")).select(F.lit(name).alias("check_name"), "n_violations")
-        for name, violations in checks.items()
-    ]
-    return reduce(DataFrame.unionByName, counted)
+    return union_all(
+        [
+            violations.agg(F.count("*").alias("n_violations")).select(F.lit(name).alias("check_name"), "n_violations")
+            for name, violations in checks.items()
+        ]
+    )

@@ -77,55 +77,45 @@ def build(raw: Raw, seed: DataFrame) -> Warehouse:
     )
 
 
-def _flat(raw: DataFrame, path: str) -> DataFrame:
-    return raw.withColumn("natural_key", F.col(path))
-
-
 def all_checks(raw: Raw, w: Warehouse, seed: DataFrame) -> DataFrame:
     """The 54 checks as (check_name, n_violations) rows.
 
-    The not-null checks of a table share one scan of it, the others are one small aggregate each.
+    The not-null checks of a table and its unique one share a single pass over it, the others are
+    one small aggregate each.
     """
     outcome_codes = [r[0] for r in seed.select("outcome_code").collect()] + [NO_CODE]
-    nulls = {
-        "raw_studies": (_flat(raw.studies, "protocolSection.identificationModule.nctId"), ["natural_key", "_loaded_at"]),
-        "raw_reports": (raw.reports, ["safetyreportid", "_loaded_at"]),
-        "raw_applications": (raw.applications, ["application_number", "_loaded_at", "_batch_id"]),
-        "raw_descriptors": (raw.descriptors, ["descriptor_ui", "_loaded_at"]),
-        "stg_studies": (w.studies, ["nct_id"]),
-        "stg_applications": (w.applications, ["application_number", "application_type"]),
-        "stg_reports": (
+    study_key = F.col("protocolSection.identificationModule.nctId")
+    raw_studies = raw.studies.select(study_key.alias("nctId"), "_loaded_at")
+    # Table, rows, unique key, columns that must not be NULL.
+    columns = [
+        ("raw_studies", raw_studies, None, ["nctId", "_loaded_at"]),
+        ("raw_reports", raw.reports, None, ["safetyreportid", "_loaded_at"]),
+        ("raw_applications", raw.applications, None, ["application_number", "_loaded_at", "_batch_id"]),
+        ("raw_descriptors", raw.descriptors, None, ["descriptor_ui", "_loaded_at"]),
+        ("stg_studies", w.studies, "nct_id", ["nct_id"]),
+        ("stg_applications", w.applications, "application_number", ["application_number", "application_type"]),
+        (
+            "stg_reports",
             w.reports,
+            "safety_report_id",
             ["safety_report_id", "safety_report_version", "receipt_date", "receive_date", "transmission_date"],
         ),
-        "stg_descriptors": (w.descriptors, ["descriptor_ui", "descriptor_name"]),
-        "int_suspects": (w.suspects, ["safety_report_id", "drug_name_source"]),
-        "int_reactions": (w.reactions, ["outcome_code"]),
-        "dim_date": (w.dates, ["date_key"]),
-        "dim_drug": (w.drugs, ["drug_key"]),
-        "dim_outcome": (w.outcomes, ["outcome_key"]),
-        "dim_reaction": (w.terms, ["reaction_key"]),
-        "fact_reactions": (
+        ("stg_descriptors", w.descriptors, "descriptor_ui", ["descriptor_ui", "descriptor_name"]),
+        ("int_suspects", w.suspects, "safety_report_id", ["safety_report_id", "drug_name_source"]),
+        ("int_reactions", w.reactions, None, ["outcome_code"]),
+        ("dim_date", w.dates, "date_key", ["date_key"]),
+        ("dim_drug", w.drugs, "drug_key", ["drug_key"]),
+        ("dim_outcome", w.outcomes, "outcome_key", ["outcome_key"]),
+        ("dim_reaction", w.terms, "reaction_key", ["reaction_key"]),
+        (
+            "fact_reactions",
             w.fact,
+            "reaction_event_key",
             ["reaction_event_key", "receive_date_key", "drug_key", "outcome_key", "reaction_key"],
         ),
-        "seed_outcomes": (seed, ["outcome_code", "outcome_label"]),
-    }
-    uniques = {
-        "stg_studies": (w.studies, "nct_id"),
-        "stg_applications": (w.applications, "application_number"),
-        "stg_reports": (w.reports, "safety_report_id"),
-        "stg_descriptors": (w.descriptors, "descriptor_ui"),
-        "int_suspects": (w.suspects, "safety_report_id"),
-        "dim_date": (w.dates, "date_key"),
-        "dim_drug": (w.drugs, "drug_key"),
-        "dim_outcome": (w.outcomes, "outcome_key"),
-        "dim_reaction": (w.terms, "reaction_key"),
-        "fact_reactions": (w.fact, "reaction_event_key"),
-        "seed_outcomes": (seed, "outcome_code"),
-    }
-    found = {f"unique {t}.{c}": checks.unique(df, c) for t, (df, c) in uniques.items()}
-    found |= {
+        ("seed_outcomes", seed, "outcome_code", ["outcome_code", "outcome_label"]),
+    ]
+    violations = {
         "accepted int_suspects.drug_name_source": checks.accepted_values(
             w.suspects, "drug_name_source", DRUG_NAME_SOURCES
         ),
@@ -139,11 +129,7 @@ def all_checks(raw: Raw, w: Warehouse, seed: DataFrame) -> DataFrame:
         "children reports have reactions": checks.has_children(w.reports, "safety_report_id", "reactions"),
         "grain int_reactions": checks.grain(w.reactions, ["safety_report_id", "reaction_seq"]),
     }
-    summary = checks.summarise(found)
-    for table, (df, cols) in nulls.items():
-        counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)])
-        cells = [x for i, c in enumerate(cols) for x in (F.lit(f"not_null {table}.{c}"), F.col(f"n{i}"))]
-        summary = summary.unionByName(
-            counts.select(F.stack(F.lit(len(cols)), *cells).alias("check_name", "n_violations"))
-        )
-    return summary
+    return checks.union_all(
+        [checks.column_checks(df, key, cols, table) for table, df, key, cols in columns]
+        + [checks.summarise(violations)]
+    )
