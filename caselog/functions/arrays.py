@@ -14,8 +14,8 @@ def matching(arr: Column, predicate: Callable[[Column], Column]) -> Column:
 
 
 def n_items(arr: Column) -> Column:
-    """Item count; NULL for a NULL array (ANSI mode)."""
-    return F.size(arr)
+    """Item count; NULL for a NULL array, whatever the session's settings."""
+    return F.array_size(arr)
 
 
 def first_item(arr: Column) -> Column:
@@ -37,4 +37,4 @@ def shortest_variant(arr: Column) -> Column:
 
 def has_no_items(arr: Column) -> Column:
     """True for a NULL or an empty array."""
-    return arr.isNull() | (F.size(arr) == 0)
+    return arr.isNull() | (F.array_size(arr) == 0)

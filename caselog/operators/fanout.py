@@ -26,7 +26,7 @@ def date_spine(spark: SparkSession, start: str | Column, end: str | Column) -> D
 
 
 def recursive_sequence(spark: SparkSession, n: int) -> DataFrame:
-    """1..n by a recursive query."""
+    """1..n by a recursive query. Spark bounds the depth (spark.sql.cteRecursionLevelLimit, 100)."""
     return spark.sql(
         "WITH RECURSIVE seq(n) AS (SELECT 1 UNION ALL SELECT n + 1 FROM seq WHERE n < :last) "
         "SELECT n FROM seq",

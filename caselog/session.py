@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 def configure(spark: SparkSession) -> None:
     """Pin semantics and one tuning setting; all of them can change in a running session.
 
-    ANSI casts, a NULL size for a NULL array, and times in UTC. Wide staging projections generate
+    ANSI casts and times in UTC. Wide staging projections generate
     methods larger than the 8000 bytes of bytecode the JVM compiles; with this limit Spark splits
     them instead of having them interpreted.
     """

@@ -21,7 +21,7 @@ def land(
     glob: str = "*",
     run_id: str | None = None,
     max_file_age: str = "36500d",
-    files_per_batch: int = 2_000,
+    files_per_batch: int = 10_000,
 ) -> None:
     """Append the rows of files not ingested before, stamped with the load metadata.
 

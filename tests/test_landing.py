@@ -79,6 +79,26 @@ def test_corrupt_lines_land_as_flagged_rows(spark, place):
     ]
 
 
+def test_a_grown_schema_lands_in_the_same_table(spark, place):
+    source, out, checkpoint = place
+    write_gz(source / "a.ndjson.gz", [{"id": 1, "name": "n"}])
+    run(spark, place, "r1")
+    grown = shape({"id": LongType(), "name": StringType(), "tags": [StringType()]})
+    write_gz(source / "b.ndjson.gz", [{"id": 2, "tags": ["t"]}])
+    land(spark, str(source), grown, out, checkpoint, glob="*.ndjson.gz", run_id="r2")
+    rows = landed(spark, out, grown).collect()
+    assert {(r.id, r.name, tuple(r.tags or ()), r._batch_id) for r in rows} == {(1, "n", (), "r1"), (2, None, ("t",), "r2")}
+
+
+def test_parquet_lands_under_its_declared_schema(spark, tmp_path):
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "ck"))
+    spark.createDataFrame([(1, "a", 0.5)], "id bigint, name string, more double").write.parquet(source)
+    for run_id in ("r1", "r2"):
+        land(spark, source, SCHEMA, out, checkpoint, fmt="parquet", glob="*.parquet", run_id=run_id)
+    table = landed(spark, out, SCHEMA, "parquet")
+    assert [tuple(r) for r in table.select("id", "name", "_batch_id").collect()] == [(1, "a", "r1")]
+
+
 def test_scan_keeps_undeclared_fields_out_and_missing_ones_null(spark, tmp_path):
     write_gz(tmp_path / "a.ndjson.gz", [{"id": 1, "extra": {"x": 1}}, {"name": "n"}])
     rows = readers.scan_ndjson(spark, str(tmp_path), SCHEMA).drop("_corrupt_record").collect()
