@@ -16,13 +16,15 @@ def fan_out(
     return df.select(*rest, explode(F.col(arr)).alias(seq_name, item_name))
 
 
-def date_spine(spark: SparkSession, start: str | Column, end: str | Column) -> DataFrame:
+def days_between(ends: DataFrame, first: str, last: str) -> DataFrame:
+    """One row per day from the first to the last date of a one-row frame, in a column date_day."""
+    return ends.select(F.explode(F.sequence(F.col(first), F.col(last), F.expr("interval 1 day"))).alias("date_day"))
+
+
+def date_spine(spark: SparkSession, start: str, end: str) -> DataFrame:
     """One row per day from start to end, both included, in a column date_day."""
-    first = F.lit(start).cast("date") if isinstance(start, str) else start
-    last = F.lit(end).cast("date") if isinstance(end, str) else end
-    return spark.range(1).select(
-        F.explode(F.sequence(first, last, F.expr("interval 1 day"))).alias("date_day")
-    )
+    ends = spark.range(1).select(F.lit(start).cast("date").alias("first"), F.lit(end).cast("date").alias("last"))
+    return days_between(ends, "first", "last")
 
 
 def recursive_sequence(spark: SparkSession, n: int) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselog.functions import calendar_columns, date_key, surrogate_key
@@ -17,11 +17,14 @@ CALENDAR_END = "2027-12-31"
 NO_CODE_LABEL = "Not stated"
 
 
-def dim_date(
-    spark: SparkSession, start: str | Column = CALENDAR_START, end: str | Column = CALENDAR_END
-) -> DataFrame:
+def dim_date(spark: SparkSession, start: str = CALENDAR_START, end: str = CALENDAR_END) -> DataFrame:
     """One row per day."""
-    return date_spine(spark, start, end).select(*calendar_columns(F.col("date_day")))
+    return calendar_of(date_spine(spark, start, end))
+
+
+def calendar_of(days: DataFrame) -> DataFrame:
+    """Calendar attributes of the days in date_day."""
+    return days.select(*calendar_columns(F.col("date_day")))
 
 
 def dim_outcome(seed: DataFrame) -> DataFrame:

@@ -25,13 +25,14 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/caselog/{name}-{uuid.uuid4().hex}"
 
 
-def save(df: DataFrame, name: str) -> DataFrame:
+def save(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
     """Write the frame as a table in the shared folder and return it as read back.
 
     For a result that several others are built from: it is computed once, its lineage ends here,
-    it survives the loss of executors, and readers get column pruning and filter pushdown.
+    it survives the loss of executors, and readers get column pruning, filter pushdown and, with
+    `by`, partition pruning.
     """
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

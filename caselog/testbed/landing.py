@@ -10,7 +10,7 @@ from caselog.plans.staging import project_studies, stage_studies
 from caselog.sources import manifest, readers, sinks
 from caselog.sources.schemas import DESCRIPTOR_XML, OUTCOME_CODES, OUTCOME_ROWS, shape
 from caselog.sources.selection import change_window, cohort
-from caselog.sources.storage import new_folder
+from caselog.sources.storage import new_folder, save
 from caselog.streaming.landing import land, landed
 from caselog.testbed.adapters import (
     landed_part_rows,
@@ -273,7 +273,7 @@ union all select 'total', null, null, null, count(*), sum(records)::bigint from
     ),
 )
 def manifest_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = partition_index(spark, sf_dir)
+    index = save(partition_index(spark, sf_dir), "index")
     plan = manifest.plan_parts(index, newest=3, parts=2)
     columns = ["kind", "file", "year", "quarter", "part_no", "records"]
     nothing = F.lit(None).cast("int")
@@ -309,7 +309,7 @@ from c""",
     ),
 )
 def manifest_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = partition_index(spark, sf_dir)
+    index = save(partition_index(spark, sf_dir), "index")
     present = manifest.with_quarter(index).where("year = 1995").select("file")
     result = manifest.reconcile_parts(index, landed_part_rows(spark, sf_dir), present)
     totals = manifest.reconcile_totals(result).select(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caselog.operators.fanout import days_between
 from caselog.plans import profiles
 from caselog.plans.intermediate import reactions, reactions_of, suspect_drugs, with_suspect
 from caselog.plans.staging import (
@@ -14,7 +15,7 @@ from caselog.plans.staging import (
     stage_reports,
     stage_studies,
 )
-from caselog.plans.star import dim_date, dim_drug, dim_outcome, dim_reaction, fact_reactions
+from caselog.plans.star import calendar_of, dim_drug, dim_outcome, dim_reaction, fact_reactions
 from caselog.plans.warehouse import KEPT
 from caselog.sources.storage import save
 from caselog.testbed.adapters import application_log, case_log, study_log, table, vocabulary_log
@@ -39,6 +40,11 @@ def _landing(df: DataFrame) -> list:
     return [F.col(c).alias(c[1:]) for c in ("_pulled_at", "_source_file", "_batch_id")]
 
 
+def landed_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The application log at rest, partitioned by batch, so that staging reads the newest only."""
+    return save(application_log(spark, sf_dir), "applications", by=("_batch_id",))
+
+
 def _date_sql(text: str) -> str:
     return f"coalesce(try_strptime({text}, '%Y-%m-%d'), try_strptime({text}, '%Y-%m'))::date::varchar"
 
@@ -147,7 +153,7 @@ select application_number, regexp_extract(application_number, '^([A-Z]+)', 1) as
     ),
 )
 def stg_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = stage_applications(application_log(spark, sf_dir), content_tiebreak=True)
+    staged = stage_applications(landed_applications(spark, sf_dir), content_tiebreak=True)
     numbers = F.transform("products", lambda p: p["product_number"])
     return staged.select(
         "application_number",
@@ -212,7 +218,7 @@ def date_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.make_date(F.year(F.min(day)), F.lit(1), F.lit(1)).alias("first"),
         F.make_date(F.year(F.max(day)), F.lit(12), F.lit(31)).alias("last"),
     )
-    return dim_date(spark, ends.select("first").scalar(), ends.select("last").scalar())
+    return calendar_of(days_between(ends, "first", "last"))
 
 
 @query(
@@ -304,7 +310,7 @@ def headline(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def profile_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = case_log(spark, sf_dir)
+    raw = save(case_log(spark, sf_dir), "cases")
     reports = save(with_suspect(stage_reports(raw)).select(*KEPT), "reports")
     react = reactions_of(reports)
     return profiles.profile_cases(raw, reports, reports, react, dim_drug(reports), dim_reaction(react))
@@ -333,7 +339,7 @@ def profile_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def profile_apps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = application_log(spark, sf_dir)
+    raw = landed_applications(spark, sf_dir)
     return profiles.profile_applications(raw, stage_applications(raw))
 
 
@@ -356,7 +362,7 @@ def profile_apps(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def profile_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = vocabulary_log(spark, sf_dir)
+    raw = save(vocabulary_log(spark, sf_dir), "vocabulary")
     return profiles.profile_vocabulary(raw, stage_descriptors(raw))
 
 
@@ -382,8 +388,8 @@ def _reconcile_sql(name: str, log: str, key: str, staged: str) -> str:
     ),
 )
 def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    studies, reports = study_log(spark, sf_dir), case_log(spark, sf_dir)
-    applications, descriptors = application_log(spark, sf_dir), vocabulary_log(spark, sf_dir)
+    studies, reports = study_log(spark, sf_dir), save(case_log(spark, sf_dir), "cases")
+    applications, descriptors = landed_applications(spark, sf_dir), save(vocabulary_log(spark, sf_dir), "vocabulary")
     return profiles.reconcile_rows(
         {
             "ctgov": (studies, stage_studies(studies), "protocolSection.identificationModule.nctId"),

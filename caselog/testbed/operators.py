@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from caselog import functions as fn
 from caselog.functions.text import DRUG_NAME_SOURCES
 from caselog.operators import aggregates, current, fanout, joins
-from caselog.plans.intermediate import reactions, resolve_reports, suspect_drugs
+from caselog.plans.intermediate import reactions, reactions_of, resolve_reports, suspect_drugs
 from caselog.plans.profiles import explode_counts
-from caselog.plans.staging import project_reports, stage_reports
+from caselog.plans.staging import project_reports, stage_descriptors, stage_reports
 from caselog.plans.star import (
     dim_date,
     dim_drug,
@@ -30,7 +30,7 @@ from caselog.testbed.adapters import (
     table,
     vocabulary_log,
 )
-from caselog.testbed.columns import CALENDAR_SQL, DRUG_LISTS, case_headers_with_empty_arrays
+from caselog.testbed.columns import DRUG_LISTS, case_headers_with_empty_arrays
 from caselog.testbed.registry import query
 from caselog.testbed.sql import (
     APPLICATIONS,
@@ -99,7 +99,8 @@ where batch_id = (select max(batch_id) from application_log)""",
     ),
 )
 def newest_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return current.newest_batch(application_log(spark, sf_dir)).select(
+    log = save(application_log(spark, sf_dir), "applications", by=("_batch_id",))
+    return current.newest_batch(log).select(
         "application_number",
         "sponsor_name",
         F.col("_batch_id").alias("batch_id"),
@@ -186,8 +187,6 @@ group by all""",
 def fk_by_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     resolved = save(resolve_reports(stage_reports(case_log(spark, sf_dir))), "resolved")
     drugs = dim_drug(resolved)
-    from caselog.plans.intermediate import reactions_of
-
     facts = fact_reactions(reactions_of(resolved)).groupBy("drug_key").agg(F.count("*").alias("n_facts"))
     return drugs.join(facts, "drug_key", "left").select(
         "drug_name", "n_reports", F.coalesce("n_facts", F.lit(0)).alias("n_facts")
@@ -206,8 +205,6 @@ join outcomes o on f.outcome_key = md5(o.outcome_code) where not f.is_probable_d
     ),
 )
 def star_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from caselog.plans.intermediate import reactions_of
-
     resolved = save(resolve_reports(stage_reports(case_log(spark, sf_dir))), "resolved")
     react = reactions_of(resolved)
     joined = with_dimensions(
@@ -400,8 +397,6 @@ union all select descriptor_ui, null, null from vocabulary where len(tree_number
     ),
 )
 def fan_out_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from caselog.plans.staging import stage_descriptors
-
     staged = stage_descriptors(vocabulary_log(spark, sf_dir)).select("descriptor_ui", "tree_numbers")
     return fanout.fan_out(staged, "tree_numbers", "seq", "tree_number", outer=True)
 
@@ -430,8 +425,9 @@ def date_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(F.col("o_orderdate").cast("date").alias("date_day"))
         .agg(F.count("*").alias("n_orders"))
     )
-    ends = per_day.agg(F.min("date_day").alias("first"), F.max("date_day").alias("last"))
-    days = fanout.date_spine(spark, ends.select("first").scalar(), ends.select("last").scalar())
+    day = F.col("o_orderdate").cast("date")
+    ends = table(spark, sf_dir, "orders").agg(F.min(day).alias("first"), F.max(day).alias("last"))
+    days = fanout.days_between(ends, "first", "last")
     return days.join(per_day, "date_day", "left").select(
         "date_day", F.coalesce("n_orders", F.lit(0)).alias("n_orders")
     )
