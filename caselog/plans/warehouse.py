@@ -17,6 +17,7 @@ from caselog.plans.staging import (
     stage_studies,
 )
 from caselog.plans.star import dim_date, dim_drug, dim_outcome, dim_reaction, fact_reactions
+from caselog.sources.sinks import materialise
 from caselog.sources.storage import save
 
 
@@ -77,6 +78,30 @@ def build(raw: Raw, seed: DataFrame) -> Warehouse:
     )
 
 
+# Name of each relation, the field that holds it, and whether it is a view or a table.
+PUBLISHED = [
+    ("stg_studies", "studies", "view"),
+    ("stg_reports", "reports", "view"),
+    ("stg_applications", "applications", "view"),
+    ("stg_descriptors", "descriptors", "view"),
+    ("int_suspect_drugs", "suspects", "view"),
+    ("int_reactions", "reactions", "view"),
+    ("dim_date", "dates", "table"),
+    ("dim_drug", "drugs", "table"),
+    ("dim_outcome", "outcomes", "table"),
+    ("dim_reaction", "terms", "table"),
+    ("fact_reactions", "fact", "table"),
+]
+
+
+def publish(w: Warehouse, root: str) -> list[str]:
+    """Give the relations their names: the layers below the star as views, the star as tables
+    under the root folder, replacing those of the last build."""
+    for name, field, kind in PUBLISHED:
+        materialise(getattr(w, field), name, kind, f"{root}/{name}")
+    return [name for name, _, _ in PUBLISHED]
+
+
 def all_checks(raw: Raw, w: Warehouse, seed: DataFrame) -> DataFrame:
     """The 54 checks as (check_name, n_violations) rows.
 

@@ -12,7 +12,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caselog.operators.joins import SALTS, is_small
+from caselog.operators.joins import SALTS
 
 SLICE_ROWS = 5_000
 HOT_KEYS = 100_000
@@ -389,7 +389,7 @@ def partition_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landed_part_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows that landed: two orders' worth of difference from the index, a short file and a missing one."""
+    """Rows that landed, against the index: one file is short and one is missing."""
     lost = (F.date_format("day", "yyyy-MM") == "1996-03") & (F.col("o_orderstatus") == "O")
     missing = F.date_format("day", "yyyy-MM") == "1997-05"
     return part_files(spark, sf_dir).where(~(lost | missing)).select("o_orderkey", F.col("file").alias("_source_file"))

@@ -25,7 +25,6 @@ from caselog.sources.storage import save
 from caselog.testbed.adapters import (
     application_log,
     case_log,
-    lines_with_parts,
     study_log,
     table,
     vocabulary_log,

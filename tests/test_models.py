@@ -4,6 +4,7 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from caselog.operators import checks
 from caselog.operators.current import latest_per_key, newest_batch
@@ -17,9 +18,8 @@ from caselog.plans.staging import (
     stage_studies,
 )
 from caselog.plans.star import dim_date, dim_drug, dim_outcome, dim_reaction, fact_reactions
-from caselog.plans.warehouse import Raw, all_checks, build
+from caselog.plans.warehouse import Raw, all_checks, build, publish
 from caselog.sources import schemas
-from pyspark.sql.types import StructType
 
 
 def raw(spark, records, schema, **meta):
@@ -282,6 +282,15 @@ def test_all_checks_pass_on_good_input(spark, seed):
     assert set(found.values()) == {0}
 
 
+def test_publish_names_every_relation(spark, seed, tmp_path):
+    names = publish(build(small_raw(spark, GOOD), seed), str(tmp_path))
+    assert len(names) == 11
+    assert spark.table("fact_reactions").count() == 2
+    assert spark.read.parquet(f"{tmp_path}/dim_outcome").count() == 7
+    joined = spark.sql("select drug_name from fact_reactions join dim_drug using (drug_key) order by 1")
+    assert [r[0] for r in joined.collect()] == ["NO SUSPECT DRUG REPORTED", "X"]
+
+
 def test_checks_report_broken_input(spark, seed):
     tables = small_raw(
         spark,
