@@ -66,8 +66,14 @@ def star_join(fact: DataFrame, dims: list[Dimension], max_rows: int = BROADCAST_
 
 
 def cross_join_scalars(frames: list[DataFrame]) -> DataFrame:
-    """Side by side columns of frames that have one row each (ungrouped aggregates)."""
+    """Side by side columns of frames that have one row each (ungrouped aggregates).
+
+    Each further frame is one scalar subquery, so no join runs, and a frame with a second row is an
+    error.
+    """
     wide = frames[0]
-    for frame in frames[1:]:
-        wide = wide.crossJoin(F.broadcast(frame))
-    return wide
+    for i, frame in enumerate(frames[1:]):
+        row = frame.select(F.struct(*[F.col(c) for c in frame.columns]).alias("row")).scalar()
+        wide = wide.withColumn(f"_row{i}", row)
+    fields = [F.col(f"_row{i}.{c}") for i, frame in enumerate(frames[1:]) for c in frame.columns]
+    return wide.select(*[F.col(c) for c in frames[0].columns], *fields)
