@@ -2,7 +2,8 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from caselog.testbed import ORACLES, QUERIES
 from caselog.testbed.adapters import application_log, case_log, vocabulary_log
 from tests.compare import differences, oracle_connection
 from tests.skew import build
@@ -36,12 +37,12 @@ def skewed(tmp_path_factory):
 
 
 def test_every_query_has_an_oracle():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, small_oracle, name):
-    result = differences(spark, small_oracle, queries()[name], oracle_sql()[name], SMALL)
+    result = differences(spark, small_oracle, QUERIES[name], ORACLES[name], SMALL)
     # A check or filter may find nothing on this little data; what counts is that both agree.
     assert result in (None, "no rows on either side")
 
@@ -49,7 +50,7 @@ def test_query(spark, small_oracle, name):
 @pytest.mark.parametrize("name", [*MODELS_ON_SKEW, "check_not_null"])
 def test_query_on_skewed_tables(spark, skewed, name):
     folder, con = skewed
-    assert differences(spark, con, queries()[name], oracle_sql()[name], folder) is None
+    assert differences(spark, con, QUERIES[name], ORACLES[name], folder) is None
 
 
 @pytest.mark.parametrize(
