@@ -42,6 +42,16 @@ def staged(df: DataFrame, *steps: dict[str, Column | Callable]) -> DataFrame:
     return df
 
 
+def sealed(df: DataFrame) -> DataFrame:
+    """The same rows, whose columns later filters use as they are.
+
+    Spark moves a filter below a projection by copying the projection's expressions into it, and with
+    array functions nested in each other that can repeat them for every element. A filter isn't moved
+    below a generator.
+    """
+    return df.select(F.inline(F.array(F.struct("*"))))
+
+
 def running_sum(values: Column, block: int = 128) -> Column:
     """Sums of all elements before each one, and the total at the end: an array of size + 1.
 

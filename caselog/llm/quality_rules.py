@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caselog.llm.common import or_empty, staged, table, words
+from caselog.llm.common import or_empty, sealed, staged, table, words
 
 SYMBOLS = "[#*$%&|<>]"
 
@@ -147,9 +147,8 @@ def apply_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     ids give repeated results; other columns of the input are ignored.
     """
     rows = measures(docs.select("doc_id", "text"))
-    return rows.drop("text").withColumns({"base_failed": F.expr(BASE_FAILED)}).withColumn(
-        "kept", ~F.col("base_failed") & compiled(rules)
-    )
+    judged = rows.drop("text").withColumns({"base_failed": F.expr(BASE_FAILED)})
+    return sealed(judged.withColumn("kept", ~F.col("base_failed") & compiled(rules)))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from caselog.llm import quality_rules
+from caselog.llm import quality_classifier, quality_rules
 from caselog.llm.common import run_query
 
 _MODULES = {
     "op7_quality_rules": quality_rules,
+    "op9_quality_classifier": quality_classifier,
 }
 
 QUERIES = {name: run_query(module.query) for name, module in _MODULES.items()}
