@@ -35,6 +35,12 @@ def remainder(doc_id: Column, n: int) -> Column:
     return F.crc32(or_empty(doc_id)) % n
 
 
+def row_key(doc_id: Column, text: Column) -> tuple[Column, Column]:
+    """Two hashes that together tell rows of (doc_id, text) apart; nulls count as empty text."""
+    doc_id, text = or_empty(doc_id), or_empty(text)
+    return F.xxhash64(doc_id, text), F.xxhash64(text, F.lit("/"), doc_id)
+
+
 def staged(df: DataFrame, *steps: dict[str, Column | Callable]) -> DataFrame:
     """Add columns step by step; a step may use the columns of those before it."""
     for step in steps:
@@ -79,9 +85,15 @@ def running_sum(values: Column, block: int = 128) -> Column:
     return F.concat(F.flatten(inner), F.array(F.element_at(offsets, -1)))
 
 
+def prepare(spark: SparkSession) -> None:
+    """Session settings of the operators; batches for Python stay small where texts are long."""
+    configure(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def run_query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        configure(spark)
+        prepare(spark)
         return function(spark, sf_dir)
 
     return run
