@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from caselog.llm import quality_classifier, quality_rules, simhash
+from caselog.llm import packing, quality_classifier, quality_rules, simhash
 from caselog.llm.common import run_query
 
 _MODULES = {
+    "op4_packing": packing,
     "op5_simhash": simhash,
     "op7_quality_rules": quality_rules,
     "op9_quality_classifier": quality_classifier,
