@@ -22,7 +22,11 @@ def or_empty(c: Column) -> Column:
 
 def ascii_lower(word: Column) -> Column:
     """A-Z in lower case, all else as it is. For short strings: `translate` takes each character by itself."""
-    return F.when(F.octet_length(word) == F.length(word), F.lower(word)).otherwise(F.translate(word, UPPER, LOWER))
+    return (
+        F.when(F.octet_length(word) == F.length(word), F.lower(word))
+        .when(word.rlike("[A-Z]"), F.translate(word, UPPER, LOWER))
+        .otherwise(word)
+    )
 
 
 def words(text: Column) -> Column:
