@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from caselog.llm import chat, decontamination, packing, quality_classifier, quality_rules, simhash
+from caselog.llm import chat, decontamination, packing, quality_classifier, quality_rules, secrets, simhash
 from caselog.llm.common import run_query
 
 _MODULES = {
@@ -12,6 +12,7 @@ _MODULES = {
     "op5_simhash": simhash,
     "op7_quality_rules": quality_rules,
     "op9_quality_classifier": quality_classifier,
+    "op10_secrets": secrets,
 }
 
 QUERIES = {name: run_query(module.query) for name, module in _MODULES.items()}
