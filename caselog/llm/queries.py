@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from caselog.llm import chat, decontamination, packing, quality_classifier, quality_rules, secrets, simhash
+from caselog.llm import chat, decontamination, packing, pii, quality_classifier, quality_rules, secrets, simhash
 from caselog.llm.common import run_query
 
 _MODULES = {
+    "op1_pii": pii,
     "op2_chat": chat,
     "op3_decontamination": decontamination,
     "op4_packing": packing,
