@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from caselog.llm import chat, decontamination, language_model, packing, pii, quality_classifier, quality_rules, secrets, simhash
+from caselog.llm import chat, decontamination, language_model, packing, pii, quality_classifier, quality_rules, secrets, simhash, suffix_dedup
 from caselog.llm.common import run_query
 
 _MODULES = {
@@ -13,6 +13,7 @@ _MODULES = {
     "op5_simhash": simhash,
     "op6_language_model": language_model,
     "op7_quality_rules": quality_rules,
+    "op8_suffix_dedup": suffix_dedup,
     "op9_quality_classifier": quality_classifier,
     "op10_secrets": secrets,
 }
