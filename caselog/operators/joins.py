@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
-SALTS = 32
 
 
 def attach(fact: DataFrame, other: DataFrame, key: str | list[str]) -> DataFrame:
@@ -27,8 +26,8 @@ def missing_from(parent: DataFrame, child: DataFrame, key: str, child_key: str |
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the frame has at most max_rows rows. Reads no more than max_rows + 1 rows' worth."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether the frame has at most max_rows rows. Each task counts its own rows, so only counts move."""
+    return df.count() <= max_rows
 
 
 @dataclass(frozen=True)
@@ -41,25 +40,20 @@ class Dimension:
 
 
 def attach_dimension(fact: DataFrame, dim: Dimension, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Inner join of a fact with a dimension.
+    """Every row of a fact with the attributes of its dimension, NULL where it has no partner.
 
-    A dimension of checked size is broadcast. A larger one is joined on (key, salt): the dimension
-    is repeated per salt, and the fact's rows are spread over the salts by a hash of the row, so
-    that a key with very many facts is shared by many tasks. The salt is a function of the row,
-    not random, so a recomputed task sends its rows to the same places.
+    A dimension of checked size is broadcast. A larger one is joined by a shuffle on the key, whose
+    crowded partitions adaptive execution splits on the fact's side: the dimension has unique keys,
+    so no row is repeated for the keys that aren't crowded.
     """
     keyed = dim.frame.withColumnRenamed(dim.key, dim.fact_key) if dim.key != dim.fact_key else dim.frame
     if is_small(keyed, max_rows):
-        return fact.join(F.broadcast(keyed), on=dim.fact_key, how="inner")
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(SALTS))
-    repeated = keyed.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
-    )
-    return fact.withColumn("_salt", salt).join(repeated, on=[dim.fact_key, "_salt"]).drop("_salt")
+        return fact.join(F.broadcast(keyed), on=dim.fact_key, how="left")
+    return fact.join(keyed, on=dim.fact_key, how="left")
 
 
 def star_join(fact: DataFrame, dims: list[Dimension], max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The fact with the attributes of all its dimensions; key columns keep the fact's names."""
+    """All rows of the fact with the attributes of its dimensions; key columns keep the fact's names."""
     for dim in dims:
         fact = attach_dimension(fact, dim, max_rows)
     return fact

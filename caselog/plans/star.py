@@ -81,7 +81,8 @@ def exclude_duplicates(df: DataFrame) -> DataFrame:
 def with_dimensions(
     fact: DataFrame, dates: DataFrame, drugs: DataFrame, outcomes: DataFrame, terms: DataFrame
 ) -> DataFrame:
-    """The fact with the attributes of its four dimensions."""
+    """All rows of the fact with the attributes of its four dimensions. Undated facts, and those outside the
+    calendar, have no calendar attributes."""
     return star_join(
         fact,
         [

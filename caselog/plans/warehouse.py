@@ -44,6 +44,9 @@ class Warehouse:
     fact: DataFrame
 
 
+# The outcome codes a reaction may have, beside the default one.
+OUTCOMES = ["1", "2", "3", "4", "5", "6"]
+
 # What the models and checks on top of staging read of a report.
 KEPT = [
     *REPORT_FIELDS,
@@ -108,7 +111,6 @@ def all_checks(raw: Raw, w: Warehouse, seed: DataFrame) -> DataFrame:
     The not-null checks of a table and its unique one share a single pass over it, the others are
     one small aggregate each.
     """
-    outcome_codes = [r[0] for r in seed.select("outcome_code").collect()] + [NO_CODE]
     study_key = F.col("protocolSection.identificationModule.nctId")
     raw_studies = raw.studies.select(study_key.alias("nctId"), "_loaded_at")
     # Table, rows, unique key, columns that must not be NULL.
@@ -144,7 +146,7 @@ def all_checks(raw: Raw, w: Warehouse, seed: DataFrame) -> DataFrame:
         "accepted int_suspects.drug_name_source": checks.accepted_values(
             w.suspects, "drug_name_source", DRUG_NAME_SOURCES
         ),
-        "accepted int_reactions.outcome_code": checks.accepted_values(w.reactions, "outcome_code", outcome_codes),
+        "accepted int_reactions.outcome_code": checks.accepted_values(w.reactions, "outcome_code", [*OUTCOMES, NO_CODE]),
         "accepted dim_drug.drug_name_source": checks.accepted_values(w.drugs, "drug_name_source", DRUG_NAME_SOURCES),
         "relationship receive_date_key": checks.relationship(w.fact, "receive_date_key", w.dates, "date_key"),
         "relationship drug_key": checks.relationship(w.fact, "drug_key", w.drugs, "drug_key"),

@@ -1,109 +1,20 @@
 """Reshape the relational test tables into raw logs of nested records.
 
-A nested record collects child rows into arrays. A parent may have any number of children, so one
-with more than SLICE_ROWS is cut into several records by a hash of the child row; exact copies of a
-child count once. Arrays thus have a bounded expected size, and no child is dropped.
+Every record is made of one row's own columns, its arrays too: nothing is grouped, joined or counted, no
+row is dropped, and a record is the same at any size of the tables. A line that occurs again under its
+order and number is a re-publication of its case.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caselog.operators.joins import SALTS
-
-SLICE_ROWS = 5_000
-HOT_KEYS = 100_000
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-WHOLE = -1
-
-
-@dataclass(frozen=True)
-class Sliced:
-    """Child rows; with crowded keys also a _slice column, WHOLE for the rows of ordinary keys."""
-
-    rows: DataFrame
-    key: str
-    crowded: DataFrame | None
-
-
-def sliced(rows: DataFrame, key: str, identity: list[Column]) -> Sliced:
-    """Cut the rows of crowded keys into slices by a hash of the identity columns.
-
-    Crowded keys are found by a count per key (summed in the map tasks first). There are usually
-    none, which is checked; so is their number before they are broadcast. Beyond that number the
-    rows find their key's slice count by a join that spreads each key over salts.
-    """
-    crowded = (
-        rows.groupBy(key)
-        .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") > SLICE_ROWS)
-        .select(key, F.ceil(F.col("_n") / SLICE_ROWS).cast("bigint").alias("_slices"))
-    )
-    n_crowded = crowded.limit(HOT_KEYS + 1).count()
-    if n_crowded == 0:
-        return Sliced(rows, key, None)
-    row_hash = F.conv(F.substring(F.md5(F.concat_ws("|", *identity)), 1, 8), 16, 10).cast("bigint")
-    hashed = rows.withColumn("_hash", row_hash)
-    if n_crowded <= HOT_KEYS:
-        joined = hashed.join(F.broadcast(crowded), key, "left")
-    else:
-        salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
-        joined = (
-            hashed.withColumn("_salt", F.col("_hash") % SALTS)
-            .join(crowded.withColumn("_salt", salts), [key, "_salt"], "left")
-            .drop("_salt")
-        )
-    slice_no = F.coalesce(F.col("_hash") % F.col("_slices"), F.lit(WHOLE).cast("bigint"))
-    return Sliced(joined.withColumn("_slice", slice_no).drop("_hash", "_slices"), key, crowded)
-
-
-def collected(children: Sliced, items: Column, name: str) -> DataFrame:
-    """Distinct items per key and slice as a sorted array.
-
-    Without crowded keys the rows are spread by key as they are. With them the grouping starts in
-    the map tasks, where copies collapse.
-    """
-    if children.crowded is None:
-        rows, keys = children.rows.repartition(F.col(children.key)), [children.key]
-    else:
-        rows, keys = children.rows, [children.key, "_slice"]
-    grouped = rows.groupBy(*keys).agg(F.sort_array(F.collect_set(items)).alias(name))
-    return grouped if children.crowded is not None else grouped.withColumn("_slice", F.lit(WHOLE).cast("bigint"))
-
-
-def parents_with(parents: DataFrame, parent_key: str, children: Sliced, arrays: DataFrame) -> DataFrame:
-    """Parents with their arrays, one row per slice for crowded ones; those without children stay.
-
-    The slices of a crowded parent are joined one by one, on (key, slice), not all on its key.
-    """
-    if children.crowded is None:
-        return parents.join(arrays, F.col(parent_key) == F.col(children.key), "left")
-    counts = children.crowded.withColumnRenamed(children.key, parent_key)
-    wanted = parents.join(counts, parent_key, "left").withColumn(
-        "_wanted",
-        F.explode(
-            F.when(F.col("_slices").isNull(), F.array(F.lit(WHOLE).cast("bigint"))).otherwise(
-                F.sequence(F.lit(0).cast("bigint"), F.col("_slices") - 1)
-            )
-        ),
-    )
-    matched = (F.col(parent_key) == F.col(children.key)) & (F.col("_wanted") == F.col("_slice"))
-    joined = wanted.join(arrays, matched, "left")
-    return joined.where((F.col("_wanted") == WHOLE) | F.col("_slice").isNotNull()).drop("_wanted", "_slices")
-
-
-def suffix(slice_col: Column) -> Column:
-    return F.when(slice_col >= 0, F.concat(F.lit("-"), slice_col.cast("string"))).otherwise("")
-
-
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
@@ -127,42 +38,55 @@ def lines_with_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_parts(lines(spark, sf_dir), spark, sf_dir)
 
 
-LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "qty", "cents", "l_returnflag"]
-LINE_FIELDS = [*LINE_ORDER, "p_name", "p_type", "p_brand"]
-
-
-def _drug(line: Column) -> Column:
-    part = line["l_partkey"]
-    name = line["p_name"]
-    generic = F.when(part % 33 == 0, F.array(F.lit(""))).otherwise(
-        F.array(F.concat(name, F.lit(" "), line["p_type"]), name, line["p_brand"])
-    )
-    return F.struct(
-        F.when(line["l_returnflag"] == "R", "1")
-        .when(line["l_returnflag"] == "A", "2")
-        .otherwise("3")
-        .alias("drugcharacterization"),
-        F.when(part % 11 == 0, None)
-        .when(part % 7 == 0, F.lit("  "))
-        .otherwise(F.concat(F.lit(" "), name, F.lit(" ")))
-        .alias("medicinalproduct"),
-        F.when(part % 3 == 0, F.struct(generic.alias("generic_name"))).alias("openfda"),
-    )
-
-
-def _reaction(line: Column) -> Column:
-    outcome = line["qty"] % 8
-    return F.struct(
-        F.when(line["l_suppkey"] % 13 == 0, F.lit("")).otherwise(line["p_name"]).alias("reactionmeddrapt"),
-        F.when(outcome.between(1, 6), outcome.cast("string")).alias("reactionoutcome"),
-    )
+# A line's columns under the names of the record they make. The version is the price in cents, so a line
+# published again has another one; lines that agree even there differ in the file. Some cases have no date,
+# and some one after the calendar's end.
+CASE_ROWS = """
+    concat(l_orderkey, '/', l_linenumber) as id, l_orderkey as o_orderkey, l_partkey as o_custkey, l_suppkey,
+    case l_returnflag when 'R' then 'F' when 'A' then 'P' else 'O' end as o_orderstatus,
+    concat(l_linenumber % 5 + 1, '-X') as o_orderpriority,
+    case when l_orderkey % 97 = 0 then null when l_orderkey % 89 = 0 then date_add(l_shipdate, 14610)
+         else cast(l_shipdate as date) end as o_orderdate,
+    cast(l_quantity as int) as qty, cast(round(l_extendedprice * 100) as bigint) as cents,
+    concat_ws('-', l_partkey, l_suppkey, cast(l_quantity as int), l_returnflag, l_linestatus,
+              date_format(l_shipdate, 'yyyyMMdd')) as row_text"""
+
+
+def case_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").selectExpr(*_split(CASE_ROWS))
+
+
+def _split(columns: str) -> list[str]:
+    """Column expressions of a list, whose commas outside brackets separate them."""
+    parts, depth = [""], 0
+    for c in columns:
+        depth += (c == "(") - (c == ")")
+        if c == "," and not depth:
+            parts.append("")
+        else:
+            parts[-1] += c
+    return parts
+
+
+# Drugs and reactions of a case, none to four, by the line's quantity.
+_DRUGS = """transform(filter(sequence(0, 3), i -> i < qty % 5), i -> named_struct(
+    'drugcharacterization', cast((qty + i) % 3 + 1 as string),
+    'medicinalproduct', case when (o_custkey + 7 * i) % 11 = 0 then null when (o_custkey + 7 * i) % 7 = 0 then '  '
+        else concat(' drug ', (o_custkey + 7 * i) % 64, ' ') end,
+    'openfda', case when (o_custkey + 7 * i) % 3 = 0 then named_struct('generic_name',
+        case when (o_custkey + 7 * i) % 33 = 0 then array('')
+             else array(concat('drug ', (o_custkey + 7 * i) % 64, ' tablet'), concat('drug ', (o_custkey + 7 * i) % 64),
+                        concat('Brand#', (o_custkey + 7 * i) % 25)) end) end))"""
+_REACTIONS = """transform(filter(sequence(0, 3), i -> i < (qty + 2) % 5), i -> named_struct(
+    'reactionmeddrapt', if((l_suppkey + i) % 13 = 0, '', concat('term ', (o_custkey + i) % 64)),
+    'reactionoutcome', if((qty + i) % 8 between 1 and 6, cast((qty + i) % 8 as string), null)))"""
 
 
 def _report_columns() -> dict[str, str]:
-    """Raw scalar fields of a case report, as expressions over orders and the revision `v`."""
+    """Raw scalar fields of a case report, as expressions over case rows and the revision `v`."""
     day = "date_format(date_add(cast(o_orderdate as date), 30 * v), 'yyyyMMdd')"
     return {
-        "safetyreportversion": "if(v = 0, '9', '103')",
+        "safetyreportversion": "cast(cents + 1000000 * v as string)",
         "companynumb": "concat('US-', o_custkey)",
         "authoritynumb": "cast(null as string)",
         "duplicate": "case o_custkey % 5 when 0 then '1' when 1 then '2' end",
@@ -211,36 +135,24 @@ def _landed(pulled: str, source_file: str) -> list[Column]:
 
 
 def _report_landing() -> list[Column]:
-    return _landed("if(v = 0, '2026-01-05', '2026-04-05')", "if(v = 0, 'part-a', 'part-b')")
+    return _landed("if(v = 0, '2026-01-05', '2026-04-05')", "concat(if(v = 0, 'part-a-', 'part-b-'), row_text)")
 
 
 def case_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw case log without its arrays: one row per order, two for a revised one."""
-    orders = table(spark, sf_dir, "orders").selectExpr("*", _REVISIONS)
-    return orders.select(
-        F.col("o_orderkey").cast("string").alias("safetyreportid"),
-        *[F.expr(e).alias(c) for c, e in _report_columns().items()],
-        F.expr(_PATIENT.format(children="")).alias("patient"),
-        *_report_landing(),
-    )
+    """The raw case log without its arrays."""
+    return _case_log(spark, sf_dir, "")
 
 
 def case_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw case log: drugs and reactions of a case are the lines of its order."""
-    children = sliced(lines(spark, sf_dir), "l_orderkey", [F.col(c) for c in LINE_ORDER])
-    children = replace(children, rows=with_parts(children.rows, spark, sf_dir))
-    arrays = collected(children, F.struct(*LINE_FIELDS), "lines")
-    orders = parents_with(table(spark, sf_dir, "orders"), "o_orderkey", children, arrays)
-    nested = (
-        orders.withColumn("drugs", F.transform("lines", _drug))
-        .withColumn("reactions", F.transform("lines", _reaction))
-        .selectExpr("*", _REVISIONS)
-    )
-    children_fields = ", 'drug', coalesce(drugs, array()), 'reaction', coalesce(reactions, array())"
-    return nested.select(
-        F.concat(F.col("o_orderkey").cast("string"), suffix(F.col("_slice"))).alias("safetyreportid"),
+    """The raw case log: one row per line, two for a revised one."""
+    return _case_log(spark, sf_dir, f", 'drug', {_DRUGS}, 'reaction', {_REACTIONS}")
+
+
+def _case_log(spark: SparkSession, sf_dir: str, children: str) -> DataFrame:
+    return case_rows(spark, sf_dir).selectExpr("*", _REVISIONS).select(
+        F.col("id").alias("safetyreportid"),
         *[F.expr(e).alias(c) for c, e in _report_columns().items()],
-        F.expr(_PATIENT.format(children=children_fields)).alias("patient"),
+        F.expr(_PATIENT.format(children=children)).alias("patient"),
         *_report_landing(),
     )
 
@@ -304,33 +216,19 @@ def study_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def application_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw application log: the whole catalogue twice. A tenth of the suppliers is withdrawn
-    from the second batch; some are in it twice."""
-    parts_sold = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey")
-    children = sliced(parts_sold, "l_suppkey", [F.col("l_partkey")])
-    children = replace(children, rows=with_parts(children.rows, spark, sf_dir))
-    arrays = collected(children, F.struct("l_partkey", "p_name"), "parts")
-    apps = parents_with(table(spark, sf_dir, "supplier"), "s_suppkey", children, arrays)
+    """The raw application log: the whole catalogue twice, one application per supplier with none to four
+    products. A tenth of the suppliers is withdrawn from the second batch; some are in it twice."""
     batches = "explode(case when s_suppkey % 10 = 0 then array(0) when s_suppkey % 20 = 1 then array(0, 1, 2) else array(0, 1) end) as v"
-    items = F.transform(
-        "parts",
-        lambda p: F.struct(
-            p["l_partkey"].cast("string").alias("product_number"), p["p_name"].alias("brand_name")
-        ),
-    )
     number = "lpad(cast(s_suppkey as string), 9, '0')"
-    return apps.selectExpr("*", batches).select(
-        F.concat(
-            F.expr(
-                f"case when s_suppkey % 17 = 0 then {number} else"
-                f" concat(element_at(array('NDA', 'ANDA', 'BLA'), cast(s_suppkey % 3 as int) + 1), {number}) end"
-            ),
-            suffix(F.col("_slice")),
+    products = """if(s_suppkey % 23 = 0, null, transform(filter(sequence(0, 3), i -> i < s_suppkey % 5), i -> named_struct(
+        'product_number', cast(7 * s_suppkey + i as string), 'brand_name', concat('brand ', i))))"""
+    return table(spark, sf_dir, "supplier").selectExpr("*", batches).select(
+        F.expr(
+            f"case when s_suppkey % 17 = 0 then {number} else"
+            f" concat(element_at(array('NDA', 'ANDA', 'BLA'), cast(s_suppkey % 3 as int) + 1), {number}) end"
         ).alias("application_number"),
         F.expr("concat(s_name, if(v = 2, ' (corrected)', ''))").alias("sponsor_name"),
-        F.when(F.expr("s_suppkey % 23 = 0"), None)
-        .otherwise(F.coalesce(items, F.expr("cast(array() as array<struct<product_number:string,brand_name:string>>)")))
-        .alias("products"),
+        F.expr(products).alias("products"),
         F.expr("array(named_struct('submission_type', 'ORIG', 'submission_number', '1'))").alias("submissions"),
         F.expr(
             "if(s_suppkey % 3 = 0, named_struct('application_number', array(s_name), 'brand_name', array(s_name)), null)"
@@ -349,18 +247,15 @@ def _landed_application() -> list[Column]:
 
 
 def vocabulary_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw vocabulary log: a descriptor per part name, its tree numbers the kinds of such parts.
-    Some have none; some are in a second annual file under a revised name."""
-    parts = table(spark, sf_dir, "part").select(
-        "p_name", F.expr("concat_ws('.', p_type, p_brand, p_size)").alias("tree")
-    )
-    grouped = collected(sliced(parts, "p_name", [F.col("tree")]), F.col("tree"), "trees")
-    grouped = grouped.withColumn("digest", F.md5("p_name"))
+    """The raw vocabulary log: a descriptor per part with none to four tree numbers. Some are in a
+    second annual file under a revised name."""
+    parts = table(spark, sf_dir, "part").selectExpr("*", "md5(cast(p_partkey as string)) as digest")
     years = "explode(if(substr(digest, 2, 1) < '8', array(0, 1), array(0))) as v"
-    return grouped.selectExpr("*", years).select(
-        F.concat(F.lit("D"), F.substring("digest", 1, 8), suffix(F.col("_slice"))).alias("descriptor_ui"),
+    trees = "transform(filter(sequence(0, 3), i -> i < p_size % 5), i -> concat_ws('.', p_type, p_brand, p_size + i))"
+    return parts.selectExpr("*", years).select(
+        F.expr("concat('D', lpad(cast(p_partkey as string), 9, '0'))").alias("descriptor_ui"),
         F.expr("concat(p_name, if(v = 1, ' (revised)', ''))").alias("descriptor_name"),
-        F.expr("if(substr(digest, 1, 1) = '2', cast(array() as array<string>), trees)").alias("tree_numbers"),
+        F.expr(trees).alias("tree_numbers"),
         *_landed("if(v = 0, '2025-11-20', '2026-11-20')", "if(v = 0, 'desc-a', 'desc-b')"),
     )
 

@@ -116,7 +116,7 @@ def compact_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     "version_cast",
     with_(
         CASES,
-        """select o_orderkey::varchar as safety_report_id, max(version::varchar) as greatest_text,
+        """select id as safety_report_id, max(version::varchar) as greatest_text,
 max(version)::bigint as greatest_number from case_log group by 1""",
     ),
 )
@@ -209,7 +209,7 @@ def default_code(spark: SparkSession, sf_dir: str) -> DataFrame:
         """
 select serious, death as seriousness_death, duplicate, coalesce(serious = '1', false) as is_serious,
   coalesce(death = '1', false) as is_report_death, coalesce(duplicate = '1', false) as is_probable_duplicate,
-  count(distinct (o_orderkey, v)) as n from case_log group by all""",
+  count(*) as n from case_log group by all""",
     ),
 )
 def flag_decode(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -231,31 +231,37 @@ def envelope_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_(
         VOCABULARY,
         """select descriptor_ui, descriptor_name, len(tree_numbers)::bigint as n_numbers,
-array_to_string(tree_numbers, '|') as numbers from vocabulary_log where source_file = 'desc-a'""",
+array_to_string(tree_numbers, '|') as numbers, strftime(pulled_at, '%Y-%m-%dT%H:%M:%S+00:00') as pulled_at
+from vocabulary_log""",
     ),
 )
 def xml_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = new_folder(spark, "xml")
+    """Both annual files, each written as XML and read back."""
     numbers = F.col("tree_numbers")
-    (
-        vocabulary_log(spark, sf_dir)
-        .where(F.col("_source_file") == "desc-a")
-        .select(
-            F.col("descriptor_ui").alias("DescriptorUI"),
-            F.struct(F.col("descriptor_name").alias("String")).alias("DescriptorName"),
-            F.when(F.size(numbers) > 0, F.struct(numbers.alias("TreeNumber"))).alias("TreeNumberList"),
+    log = vocabulary_log(spark, sf_dir)
+    read = []
+    for name, pulled_at in (("desc-a", "2025-11-20T06:00:00+00:00"), ("desc-b", "2026-11-20T06:00:00+00:00")):
+        path = new_folder(spark, "xml")
+        (
+            log.where(F.col("_source_file") == name)
+            .select(
+                F.col("descriptor_ui").alias("DescriptorUI"),
+                F.struct(F.col("descriptor_name").alias("String")).alias("DescriptorName"),
+                F.when(F.size(numbers) > 0, F.struct(numbers.alias("TreeNumber"))).alias("TreeNumberList"),
+            )
+            .write.format("xml")
+            .option("rootTag", "DescriptorRecordSet")
+            .option("rowTag", "DescriptorRecord")
+            .save(path)
         )
-        .write.format("xml")
-        .option("rootTag", "DescriptorRecordSet")
-        .option("rowTag", "DescriptorRecord")
-        .save(path)
-    )
-    rows = readers.descriptors_from_xml(spark, path, DESCRIPTOR_XML, "2025-11-20T06:00:00+00:00")
-    return rows.select(
+        rows = readers.descriptors_from_xml(spark, path, DESCRIPTOR_XML, pulled_at)
+        read.append(rows.withColumn("pulled_at", F.lit(pulled_at)))
+    return read[0].unionByName(read[1]).select(
         "descriptor_ui",
         "descriptor_name",
         F.size("tree_numbers").alias("n_numbers"),
         F.array_join("tree_numbers", "|").alias("numbers"),
+        "pulled_at",
     )
 
 

@@ -376,7 +376,7 @@ def _reconcile_sql(name: str, log: str, key: str, staged: str) -> str:
 @query(
     "reconcile_rows",
     with_(
-        STG_REPORTS + "," + STUDIES + "," + APPLICATIONS.split("),", 1)[1] + "," + VOCABULARY,
+        STG_REPORTS + "," + STUDIES + "," + APPLICATIONS + "," + VOCABULARY,
         "\nunion all ".join(
             [
                 _reconcile_sql("ctgov", "study_log", "nct_id", "studies"),

@@ -70,11 +70,11 @@ def latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "latest_version",
     with_(
-        CASES,
+        STG_REPORTS,
         f"""
-select o_orderkey::varchar as safety_report_id, max(version)::bigint as safety_report_version,
-  max(day)::varchar as receive_date, {iso("max(pulled_at)")} as pulled_at, max(source_file) as source_file
-from case_log group by o_orderkey""",
+select id as safety_report_id, version::bigint as safety_report_version, day::varchar as receive_date,
+  {iso("pulled_at")} as pulled_at, source_file
+from reports""",
     ),
 )
 def latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,11 +196,15 @@ def fk_by_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     "star_join",
     with_(
         DIMENSIONS,
-        """
-select year(f.receive_date) || '-Q' || quarter(f.receive_date) as year_quarter, d.drug_name_source, o.outcome_label,
+        """, calendar as (
+  select strftime(d, '%Y%m%d')::bigint as receive_date_key, year(d) || '-Q' || quarter(d) as year_quarter
+  from generate_series(date '1960-01-01', date '2027-12-31', interval 1 day) as r(d)
+)
+select c.year_quarter, d.drug_name_source, o.outcome_label,
   count(*) as n_reactions, count(distinct f.safety_report_id) as n_cases, max(r.n_reactions) as max_term_size
-from fact f join dim_drug d using (drug_key) join dim_reaction r using (reaction_key)
-join outcomes o on f.outcome_key = md5(o.outcome_code) where not f.is_probable_duplicate group by all""",
+from fact f left join calendar c using (receive_date_key)
+left join dim_drug d using (drug_key) left join dim_reaction r using (reaction_key)
+left join outcomes o on f.outcome_key = md5(o.outcome_code) where not f.is_probable_duplicate group by all""",
     ),
 )
 def star_join(spark: SparkSession, sf_dir: str) -> DataFrame:

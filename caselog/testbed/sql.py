@@ -3,59 +3,39 @@
 Written for DuckDB. Each constant is a list of CTE definitions without the leading WITH.
 """
 
-ROW_HASH = "('0x' || left(md5(concat_ws('|', {cols})), 8))::bigint"
-
-LINES = """
-line_parts as (
-  select l_orderkey, l_suppkey, l_linenumber, l_partkey, l_quantity::int as qty,
-         round(l_extendedprice * 100)::bigint as cents, l_returnflag, p_name, p_type, p_brand
-  from lineitem join part on l_partkey = p_partkey
-)"""
-
-CASES = (
-    LINES
-    + """,
-crowded as (
-  select l_orderkey as k, ceil(count(*) / 5000.0)::bigint as slices
-  from lineitem group by 1 having count(*) > 5000
-),
-lines as (
-  select distinct l.*,
-    """
-    + ROW_HASH.format(cols="l_linenumber, l_partkey, l_suppkey, qty, cents, l_returnflag")
-    + """ % slices as slice
-  from line_parts l left join crowded on k = l_orderkey
-),
-children as (
-  select l_orderkey, slice,
-    list({'code': case l_returnflag when 'R' then '1' when 'A' then '2' else '3' end,
-          'product': case when l_partkey % 11 = 0 then null when l_partkey % 7 = 0 then '  '
-                          else ' ' || p_name || ' ' end,
-          'generic': case when l_partkey % 33 = 0 then ['']
-                          when l_partkey % 3 = 0 then [p_name || ' ' || p_type, p_name, p_brand] end}
-         order by l_linenumber, l_partkey, l_suppkey, qty, cents, l_returnflag) as drugs,
-    list({'term': case when l_suppkey % 13 = 0 then '' else p_name end,
-          'outcome': case when qty % 8 between 1 and 6 then (qty % 8)::varchar end}
-         order by l_linenumber, l_partkey, l_suppkey, qty, cents, l_returnflag) as reactions
-  from lines group by all
+CASES = """
+case_rows as (
+  select l_orderkey || '/' || l_linenumber as id, l_orderkey as o_orderkey, l_partkey as o_custkey, l_suppkey,
+    case l_returnflag when 'R' then 'F' when 'A' then 'P' else 'O' end as o_orderstatus,
+    (l_linenumber % 5 + 1) || '-X' as o_orderpriority, l_quantity::int as qty,
+    case when l_orderkey % 97 = 0 then null when l_orderkey % 89 = 0 then l_shipdate::date + 14610 else l_shipdate::date end as o_orderdate,
+    round(l_extendedprice * 100)::bigint as cents,
+    concat_ws('-', l_partkey, l_suppkey, l_quantity::int, l_returnflag, l_linestatus, strftime(l_shipdate, '%Y%m%d')) as row_text
+  from lineitem
 ),
 case_log as (
-  select o_orderkey::varchar || coalesce('-' || slice::varchar, '') as id,
-    case when v = 0 then 9 else 103 end as version,
-    o_orderdate::date + 30 * v::int as day,
+  select id, cents + 1000000 * v as version,
+    o_orderdate + 30 * v::int as day,
     case when substr(o_orderpriority, 1, 1) in ('1', '2') then '1' else '2' end as serious,
     case when o_orderstatus = 'F' then '1' end as death,
     case o_custkey % 5 when 0 then '1' when 1 then '2' end as duplicate,
     case when v = 0 then timestamp '2026-01-05 06:00:00' else timestamp '2026-04-05 06:00:00' end as pulled_at,
-    case when v = 0 then 'part-a' else 'part-b' end as source_file,
+    case when v = 0 then 'part-a-' else 'part-b-' end || row_text as source_file,
     case when v = 0 then '20260105070000' else '20260405070000' end as batch_id,
-    coalesce(drugs, []) as drugs, coalesce(reactions, []) as reactions,
+    [{'code': ((qty + i) % 3 + 1)::varchar,
+      'product': case when (o_custkey + 7 * i) % 11 = 0 then null when (o_custkey + 7 * i) % 7 = 0 then '  '
+                      else ' drug ' || (o_custkey + 7 * i) % 64 || ' ' end,
+      'generic': case when (o_custkey + 7 * i) % 33 = 0 then ['']
+                      when (o_custkey + 7 * i) % 3 = 0 then ['drug ' || (o_custkey + 7 * i) % 64 || ' tablet',
+                        'drug ' || (o_custkey + 7 * i) % 64, 'Brand#' || (o_custkey + 7 * i) % 25] end}
+     for i in range(qty % 5)] as drugs,
+    [{'term': case when (l_suppkey + i) % 13 = 0 then '' else 'term ' || (o_custkey + i) % 64 end,
+      'outcome': case when (qty + i) % 8 between 1 and 6 then ((qty + i) % 8)::varchar end}
+     for i in range((qty + 2) % 5)] as reactions,
     o_orderkey, o_custkey, o_orderstatus, o_orderpriority, v
-  from orders left join children on o_orderkey = l_orderkey
-  cross join (values (0), (1)) as revisions(v)
+  from case_rows cross join (values (0), (1)) as revisions(v)
   where v = 0 or o_orderkey % 10 = 0
 )"""
-)
 
 STG_REPORTS = (
     CASES
@@ -166,37 +146,21 @@ studies as (
   qualify row_number() over (partition by nct_id order by pulled_at desc, source_file desc) = 1
 )"""
 
-APPLICATIONS = (
-    LINES
-    + """,
-supplier_lines as (
-  select l_suppkey, l_partkey, p_name from line_parts
-),
-crowded_suppliers as (
-  select l_suppkey as k, ceil(count(*) / 5000.0)::bigint as slices
-  from lineitem group by 1 having count(*) > 5000
-),
-products as (
-  select l_suppkey, """
-    + ROW_HASH.format(cols="l_partkey")
-    + """ % slices as slice, count(distinct l_partkey) as n_products,
-    string_agg(distinct l_partkey::varchar, ',' order by l_partkey::varchar) as part_list
-  from supplier_lines left join crowded_suppliers on k = l_suppkey group by 1, 2
-),
+APPLICATIONS = """
 application_log as (
   select case when s_suppkey % 17 = 0 then '' when s_suppkey % 3 = 0 then 'NDA'
               when s_suppkey % 3 = 1 then 'ANDA' else 'BLA' end
-         || lpad(s_suppkey::varchar, 9, '0') || coalesce('-' || slice::varchar, '') as application_number,
+         || lpad(s_suppkey::varchar, 9, '0') as application_number,
     s_name || case when v = 2 then ' (corrected)' else '' end as sponsor_name,
-    case when s_suppkey % 23 <> 0 then coalesce(n_products, 0) end as n_products,
-    case when s_suppkey % 23 <> 0 then coalesce(part_list, '') end as part_list,
+    case when s_suppkey % 23 <> 0 then s_suppkey % 5 end as n_products,
+    case when s_suppkey % 23 <> 0 then
+      array_to_string(list_sort([(7 * s_suppkey + i)::varchar for i in range(s_suppkey % 5)]), ',') end as part_list,
     s_suppkey % 3 = 0 as has_openfda, s_suppkey,
     case v when 0 then timestamp '2026-02-01 06:00:00' when 1 then timestamp '2026-03-01 06:00:00'
            else timestamp '2026-03-02 06:00:00' end as pulled_at,
     case when v = 0 then 'bulk-a' else 'bulk-b' end as source_file,
     case when v = 0 then '20260201070000' else '20260302070000' end as batch_id
-  from supplier left join products on s_suppkey = l_suppkey
-  cross join (values (0), (1), (2)) as batches(v)
+  from supplier cross join (values (0), (1), (2)) as batches(v)
   where v = 0 or (v = 1 and s_suppkey % 10 <> 0) or (v = 2 and s_suppkey % 10 <> 0 and s_suppkey % 20 = 1)
 ),
 applications as (
@@ -204,40 +168,22 @@ applications as (
   where batch_id = (select max(batch_id) from application_log)
   qualify row_number() over (partition by application_number order by pulled_at desc, source_file desc) = 1
 )"""
-)
 
-VOCABULARY = (
-    """
-part_trees as (
-  select p_name, concat_ws('.', p_type, p_brand, p_size) as tree from part
-),
-crowded_names as (
-  select p_name as k, ceil(count(*) / 5000.0)::bigint as slices from part_trees group by 1 having count(*) > 5000
-),
-part_slices as (
-  select distinct p_name, tree, """
-    + ROW_HASH.format(cols="tree")
-    + """ % slices as slice
-  from part_trees left join crowded_names on k = p_name
-),
-names as (
-  select p_name, slice, md5(p_name) as digest, list(tree order by tree) as trees from part_slices group by all
-),
+VOCABULARY = """
 vocabulary_log as (
-  select 'D' || left(digest, 8) || coalesce('-' || slice::varchar, '') as descriptor_ui,
+  select 'D' || lpad(p_partkey::varchar, 9, '0') as descriptor_ui,
     p_name || case when v = 1 then ' (revised)' else '' end as descriptor_name,
-    case when left(digest, 1) = '2' then [] else trees end as tree_numbers,
+    [concat_ws('.', p_type, p_brand, p_size + i) for i in range(p_size % 5)] as tree_numbers,
     case when v = 0 then timestamp '2025-11-20 06:00:00' else timestamp '2026-11-20 06:00:00' end as pulled_at,
     case when v = 0 then 'desc-a' else 'desc-b' end as source_file,
     case when v = 0 then '20251120070000' else '20261120070000' end as batch_id
-  from names cross join (values (0), (1)) as files(v)
-  where v = 0 or substr(digest, 2, 1) < '8'
+  from part cross join (values (0), (1)) as files(v)
+  where v = 0 or substr(md5(p_partkey::varchar), 2, 1) < '8'
 ),
 vocabulary as (
   select * from vocabulary_log
   qualify row_number() over (partition by descriptor_ui order by pulled_at desc, source_file desc) = 1
 )"""
-)
 
 PART_FILES = """
 part_files as (

@@ -4,7 +4,7 @@ import pytest
 
 from __spark_entry__ import entry
 from caselog.testbed import ORACLES, QUERIES
-from caselog.testbed.adapters import application_log, case_log, vocabulary_log
+from caselog.testbed.adapters import case_log, vocabulary_log
 from tests.compare import differences, oracle_connection
 from tests.skew import build
 
@@ -53,23 +53,19 @@ def test_query_on_skewed_tables(spark, skewed, name):
     assert differences(spark, con, QUERIES[name], ORACLES[name], folder) is None
 
 
-@pytest.mark.parametrize(
-    ("log", "key"),
-    [(case_log, "safetyreportid"), (application_log, "application_number"), (vocabulary_log, "descriptor_ui")],
-)
-def test_crowded_parents_are_sliced(spark, skewed, log, key):
-    assert log(spark, skewed[0]).where(f"{key} like '%-%'").count() > 1
+def test_no_row_is_dropped_and_no_record_depends_on_size(spark, skewed):
+    folder = skewed[0]
+    n_lines = spark.read.parquet(f"{folder}/lineitem.parquet")
+    revised = n_lines.where("l_orderkey % 10 = 0").count()
+    assert case_log(spark, folder).count() == n_lines.count() + revised
+    assert vocabulary_log(spark, folder).select("descriptor_ui").distinct().count() == spark.read.parquet(f"{folder}/part.parquet").count()
 
 
-def test_salted_slice_counts_agree_with_broadcast_ones(spark, skewed, monkeypatch):
-    from caselog.testbed import adapters
-
-    def ids():
-        return sorted(r[0] for r in case_log(spark, skewed[0]).select("safetyreportid").distinct().collect())
-
-    broadcast = ids()
-    monkeypatch.setattr(adapters, "HOT_KEYS", 0)
-    assert ids() == broadcast
+def test_repeated_lines_are_published_again(spark, tmp_path):
+    lines = spark.read.parquet(f"{SMALL}/lineitem.parquet").where("l_orderkey % 10 <> 0").limit(700)
+    lines.unionByName(lines.limit(50)).write.parquet(str(tmp_path / "lineitem.parquet"))
+    assert case_log(spark, str(tmp_path)).count() == 750
+    assert QUERIES["latest_version"](spark, str(tmp_path)).count() == lines.select("l_orderkey", "l_linenumber").distinct().count()
 
 
 def test_entry(spark):
