@@ -59,11 +59,11 @@ class WordIds(dict):
             ids = self[chunk[:-1]] + self[chunk[-1:]]
         else:
             text = chunk.decode("utf-8", "replace")
-            if text.isalpha():
-                if not text.isascii():
-                    text = self.tokenizer.normalizer.normalize_str(text)
-                    text = self.bytewise.pre_tokenize_str(text)[0][0]
-                found = [x.id for x in self.tokenizer.model.tokenize(text)]
+            plain = text if text.isascii() else self.tokenizer.normalizer.normalize_str(text)
+            if plain.isalpha():
+                if not plain.isascii():
+                    plain = self.bytewise.pre_tokenize_str(plain)[0][0]
+                found = [x.id for x in self.tokenizer.model.tokenize(plain)]
                 ids = np.array(found, dtype=IDS).tobytes()
             else:
                 ids = self.whole(text)
