@@ -17,8 +17,8 @@ from caselog.plans.staging import (
     stage_studies,
 )
 from caselog.plans.star import dim_date, dim_drug, dim_outcome, dim_reaction, fact_reactions
-from caselog.sources.sinks import materialise
-from caselog.sources.storage import save
+from caselog.sources.sinks import materialise, write_parquet
+from caselog.sources.storage import new_folder, save
 
 
 @dataclass(frozen=True)
@@ -31,7 +31,10 @@ class Raw:
 
 @dataclass(frozen=True)
 class Warehouse:
+    """`staged` are the reports with all their columns, `reports` what the star needs of them."""
+
     studies: DataFrame
+    staged: DataFrame
     reports: DataFrame
     applications: DataFrame
     descriptors: DataFrame
@@ -59,50 +62,55 @@ KEPT = [
 ]
 
 
-def build(raw: Raw, seed: DataFrame) -> Warehouse:
-    """Build everything. Reports are collapsed and attributed once and saved; the intermediate
-    tables, the dimensions, the fact and their checks all read that table. The two dimensions that
-    grow with the data and the fact are saved as well."""
-    reports = save(with_suspect(stage_reports(raw.reports)).select(*KEPT), "reports")
+def build(raw: Raw, seed: DataFrame, root: str | None = None) -> Warehouse:
+    """Build everything. Reports are collapsed once, and saved with all their columns; the narrow
+    reports with the attributed drug are saved from there, and the intermediate tables, the dimensions,
+    the fact and their checks read those. The tables of the star are written once, under the root
+    folder, which `publish` only names; without a root, to the shared folder."""
+    root = root or new_folder(seed.sparkSession, "star")
+    write = lambda df, name: write_parquet(df, f"{root}/{name}")
+    staged = save(stage_reports(raw.reports), "stg_reports")
+    reports = save(with_suspect(staged).select(*KEPT), "reports")
     suspects = reports.select("safety_report_id", "n_suspect_drugs", "drug_name", "drug_name_source")
     react = reactions_of(reports)
     return Warehouse(
         studies=stage_studies(raw.studies),
+        staged=staged,
         reports=reports,
         applications=stage_applications(raw.applications),
         descriptors=stage_descriptors(raw.descriptors),
         suspects=suspects,
         reactions=react,
-        dates=dim_date(seed.sparkSession),
-        drugs=save(dim_drug(suspects), "dim_drug"),
-        outcomes=dim_outcome(seed),
-        terms=save(dim_reaction(react), "dim_reaction"),
-        fact=save(fact_reactions(react), "fact_reactions"),
+        dates=write(dim_date(seed.sparkSession), "dim_date"),
+        drugs=write(dim_drug(suspects), "dim_drug"),
+        outcomes=write(dim_outcome(seed), "dim_outcome"),
+        terms=write(dim_reaction(react), "dim_reaction"),
+        fact=write(fact_reactions(react), "fact_reactions"),
     )
 
 
-# Name of each relation, the field that holds it, and whether it is a view or a table.
+# Name of each relation, and the field that holds it.
 PUBLISHED = [
-    ("stg_studies", "studies", "view"),
-    ("stg_reports", "reports", "view"),
-    ("stg_applications", "applications", "view"),
-    ("stg_descriptors", "descriptors", "view"),
-    ("int_suspect_drugs", "suspects", "view"),
-    ("int_reactions", "reactions", "view"),
-    ("dim_date", "dates", "table"),
-    ("dim_drug", "drugs", "table"),
-    ("dim_outcome", "outcomes", "table"),
-    ("dim_reaction", "terms", "table"),
-    ("fact_reactions", "fact", "table"),
+    ("stg_studies", "studies"),
+    ("stg_reports", "staged"),
+    ("stg_applications", "applications"),
+    ("stg_descriptors", "descriptors"),
+    ("int_suspect_drugs", "suspects"),
+    ("int_reactions", "reactions"),
+    ("dim_date", "dates"),
+    ("dim_drug", "drugs"),
+    ("dim_outcome", "outcomes"),
+    ("dim_reaction", "terms"),
+    ("fact_reactions", "fact"),
 ]
 
 
-def publish(w: Warehouse, root: str) -> list[str]:
-    """Give the relations their names: the layers below the star as views, the star as tables
-    under the root folder, replacing those of the last build."""
-    for name, field, kind in PUBLISHED:
-        materialise(getattr(w, field), name, kind, f"{root}/{name}")
-    return [name for name, _, _ in PUBLISHED]
+def publish(w: Warehouse) -> list[str]:
+    """Give the relations their names: views on the layers below the star, which recompute from the saved
+    reports, and on the star's tables, which `build` wrote."""
+    for name, field in PUBLISHED:
+        materialise(getattr(w, field), name)
+    return [name for name, _ in PUBLISHED]
 
 
 def all_checks(raw: Raw, w: Warehouse, seed: DataFrame) -> DataFrame:

@@ -4,12 +4,21 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from caselog.sources.readers import stamp
 from caselog.sources.schemas import CORRUPT_COLUMN, with_corrupt_column
 
+RECORD = "_record"
+METADATA = {"_loaded_at": "timestamp", "_source_file": "string", "_batch_id": "string"}
+
+
+def _parsed(text: Column, schema: StructType) -> Column:
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
+    return F.from_json(text, with_corrupt_column(schema), options)
+
 
 def land(
     spark: SparkSession,
@@ -29,22 +38,24 @@ def land(
     its path: one rewritten in place is not read again. Old files are taken too, whatever their
     age; by default Spark skips files much older than the newest it has seen.
 
+    JSON records are kept whole: beside the declared fields, `_record` has the line as it came, with
+    whatever fields nobody declared. `regrown` reads them from there.
+
     The load goes in batches of files_per_batch files, so one that is interrupted resumes at the
     last batch that was committed. All its batches carry the same run id and load time.
     """
     now = datetime.now(timezone.utc)
     reader = (
-        spark.readStream.format(fmt)
+        spark.readStream.format("text" if fmt == "json" else fmt)
         .option("pathGlobFilter", glob)
         .option("maxFileAge", max_file_age)
         .option("maxFilesPerTrigger", files_per_batch)
     )
-    if fmt == "json":
-        reader = reader.schema(with_corrupt_column(schema))
-        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-    else:
-        reader = reader.schema(schema)
+    reader = reader if fmt == "json" else reader.schema(schema)
     rows = stamp(reader.load(src_dir), run_id or now.strftime("%Y%m%d%H%M%S"), now.isoformat())
+    if fmt == "json":
+        lines = rows.where(F.trim("value") != "").withColumn("_parsed", _parsed(F.col("value"), schema))
+        rows = lines.select("_parsed.*", F.col("value").alias(RECORD), *METADATA)
     query = (
         rows.writeStream.format("parquet")
         .option("path", out_dir)
@@ -61,5 +72,15 @@ def landed(spark: SparkSession, out_dir: str, schema: StructType, fmt: str = "js
     are not seen."""
     columns = with_corrupt_column(schema) if fmt == "json" else StructType(list(schema.fields))
     full = StructType(list(columns.fields))
-    full = full.add("_loaded_at", "timestamp").add("_source_file", "string").add("_batch_id", "string")
+    if fmt == "json":
+        full = full.add(RECORD, "string")
+    for name, kind in METADATA.items():
+        full = full.add(name, kind)
     return spark.read.schema(full).parquet(out_dir)
+
+
+def regrown(rows: DataFrame, schema: StructType) -> DataFrame:
+    """The landed JSON rows under a schema that has grown, nested fields too: typed anew from the kept
+    records, so no file is read again and rows of all loads have the new fields."""
+    parsed = rows.withColumn("_parsed", _parsed(F.col(RECORD), schema))
+    return parsed.select("_parsed.*", RECORD, *METADATA)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructType
 
 from caselog.operators.aggregates import precompute
 from caselog.plans.staging import project_studies, stage_studies
@@ -12,7 +12,7 @@ from caselog.sources import manifest, readers, sinks
 from caselog.sources.schemas import DESCRIPTOR_XML, OUTCOME_CODES, OUTCOME_ROWS, shape
 from caselog.sources.selection import change_window, cohort
 from caselog.sources.storage import new_folder, save
-from caselog.streaming.landing import land, landed
+from caselog.streaming.landing import land, landed, regrown
 from caselog.testbed.adapters import (
     landed_part_rows,
     partition_index,
@@ -30,6 +30,7 @@ EVENT_SCHEMA = shape(
         "user_id": LongType(),
         "event_type": StringType(),
         "props": StringType(),
+        "value": DoubleType(),
     }
 )
 LATE = "2024-01-20"
@@ -43,6 +44,7 @@ def events_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id",
         "event_type",
         "props",
+        "value",
     )
 
 
@@ -74,12 +76,37 @@ def land_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[int]]
 @query(
     "land_incremental",
     f"""
-select event_id, {iso("ts")} as ts, user_id, event_type, props,
+select event_id, {iso("ts")} as ts, user_id, event_type, props, value,
   case when ts < timestamp '{LATE}' then 'run-1' else 'run-3' end as batch_id from events""",
 )
 def land_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = land_events(spark, sf_dir)
-    return rows.select("event_id", "ts", "user_id", "event_type", "props", F.col("_batch_id").alias("batch_id"))
+    return rows.select("event_id", "ts", "user_id", "event_type", "props", "value", F.col("_batch_id").alias("batch_id"))
+
+
+@query(
+    "land_lossless",
+    f"""
+select event_id, value, case when ts >= timestamp '{LATE}' then event_id + 1 end as extra_key,
+  case when ts >= timestamp '{LATE}' then 'run-2' else 'run-1' end as batch_id, 0::bigint as n_again from events""",
+)
+def land_lossless(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late files have a nested field nobody declared; it is read from the landed rows afterwards. A
+    load without new files adds nothing."""
+    source, out, checkpoint = (new_folder(spark, n) for n in ("lossless-in", "lossless-out", "lossless-ck"))
+    events = events_as_text(spark, sf_dir)
+    write_lines(events.where(F.col("ts") < LATE), source)
+    land(spark, source, EVENT_SCHEMA, out, checkpoint, glob="*.json.gz", run_id="run-1")
+    late = events.where(F.col("ts") >= LATE)
+    write_lines(late.withColumn("extra", F.struct((F.col("event_id") + 1).alias("key"))), source)
+    for run in ("run-2", "run-3"):
+        land(spark, source, EVENT_SCHEMA, out, checkpoint, glob="*.json.gz", run_id=run)
+    grown = StructType(list(EVENT_SCHEMA.fields)).add("extra", StructType().add("key", LongType()))
+    rows = regrown(landed(spark, out, EVENT_SCHEMA), grown)
+    again = rows.where("_batch_id = 'run-3'").agg(F.count("*").alias("n"))
+    return rows.select("event_id", "value", F.col("extra.key").alias("extra_key"), F.col("_batch_id").alias("batch_id")).withColumn(
+        "n_again", again.scalar()
+    )
 
 
 @query(
@@ -105,7 +132,7 @@ def land_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "scan_ndjson",
-    f"""select event_id, {iso("ts")} as ts, user_id, event_type, props from events""",
+    f"""select event_id, {iso("ts")} as ts, user_id, event_type, props, value from events""",
 )
 def scan_ndjson(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "ndjson")
@@ -161,6 +188,7 @@ def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
             "user_id": StringType(),
             "event_type": StringType(),
             "props": StringType(),
+            "value": DoubleType(),
             "gone": StringType(),
         }
     )

@@ -284,8 +284,11 @@ def test_all_checks_pass_on_good_input(spark, seed):
 
 
 def test_publish_names_every_relation(spark, seed, tmp_path):
-    names = publish(build(small_raw(spark, GOOD), seed), str(tmp_path))
+    raw_tables = small_raw(spark, GOOD)
+    names = publish(build(raw_tables, seed, str(tmp_path)))
     assert len(names) == 11
+    assert spark.table("stg_reports").columns == stage_reports(raw_tables.reports).columns
+    assert len(spark.table("stg_reports").columns) == 39
     assert spark.table("fact_reactions").count() == 2
     assert spark.read.parquet(f"{tmp_path}/dim_outcome").count() == 7
     joined = spark.sql("select drug_name from fact_reactions join dim_drug using (drug_key) order by 1")
