@@ -221,7 +221,7 @@ def application_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     batches = "explode(case when s_suppkey % 10 = 0 then array(0) when s_suppkey % 20 = 1 then array(0, 1, 2) else array(0, 1) end) as v"
     number = "lpad(cast(s_suppkey as string), 9, '0')"
     products = """if(s_suppkey % 23 = 0, null, transform(filter(sequence(0, 3), i -> i < s_suppkey % 5), i -> named_struct(
-        'product_number', cast(7 * s_suppkey + i as string), 'brand_name', concat('brand ', i))))"""
+        'product_number', cast(7 * s_suppkey + i as string), 'brand_name', concat('drug ', (s_suppkey + i) % 64))))"""
     return table(spark, sf_dir, "supplier").selectExpr("*", batches).select(
         F.expr(
             f"case when s_suppkey % 17 = 0 then {number} else"
