@@ -243,7 +243,7 @@ def test_rules_on_odd_rows(odd):
     got = Counter((r["doc_id"], r["n_words"], r["base_failed"], r["kept"]) for r in quality_rules.apply_rules(odd).collect())
     assert sum(got.values()) == len(ODD_TEXTS)
     assert got[(1, 0, True, False)] == got[(2, 0, True, False)] == got[(3, 0, True, False)] == 1
-    assert got[(6, 7, True, False)] == 2
+    assert got[(6, 8, True, False)] == 2
     assert got[(12, 900, True, False)] == 1
 
 
