@@ -28,7 +28,10 @@ def date_spine(spark: SparkSession, start: str, end: str) -> DataFrame:
 
 
 def recursive_sequence(spark: SparkSession, n: int) -> DataFrame:
-    """1..n by a recursive query. Spark bounds the depth (spark.sql.cteRecursionLevelLimit, 100)."""
+    """1..n by a recursive query. Spark's bounds on depth and rows are raised where n needs it."""
+    for bound in ("spark.sql.cteRecursionLevelLimit", "spark.sql.cteRecursionRowLimit"):
+        if int(spark.conf.get(bound)) <= n:
+            spark.conf.set(bound, str(n + 1))
     return spark.sql(
         "WITH RECURSIVE seq(n) AS (SELECT 1 UNION ALL SELECT n + 1 FROM seq WHERE n < :last) "
         "SELECT n FROM seq",

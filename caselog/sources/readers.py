@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType
 
@@ -134,8 +132,7 @@ def schema_drift(
 def field_usage(df: DataFrame, fields: list[str]) -> DataFrame:
     """How many rows have a value, per field and file: which files a drifted field came from."""
     counted = df.groupBy("_source_file").agg(*[F.count(F.col(f)).alias(f"n{i}") for i, f in enumerate(fields)])
-    parts = [
-        counted.select("_source_file", F.lit(f).alias("path"), F.col(f"n{i}").alias("n_rows"))
-        for i, f in enumerate(fields)
-    ]
-    return reduce(DataFrame.unionByName, parts).where("n_rows > 0")
+    cells: list[Column] = []
+    for i, f in enumerate(fields):
+        cells += [F.lit(f), F.col(f"n{i}")]
+    return counted.select("_source_file", F.stack(F.lit(len(fields)), *cells).alias("path", "n_rows")).where("n_rows > 0")

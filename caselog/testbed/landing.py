@@ -476,8 +476,7 @@ def clustered_write(spark: SparkSession, sf_dir: str) -> DataFrame:
             "l_linenumber",
         )
     )
-    files = spark.sparkContext.defaultParallelism
-    clustered = sinks.write_clustered(lines, new_folder(spark, "clustered"), ["drug", "event_date"], files)
+    clustered = sinks.write_clustered(save(lines, "lines"), new_folder(spark, "clustered"), ["drug", "event_date"])
     return clustered.groupBy("drug", "event_date").agg(F.count("*").alias("n"), F.sum("qty").alias("qty"))
 
 

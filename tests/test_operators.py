@@ -122,6 +122,7 @@ def test_fan_out(spark):
 
 def test_recursive_sequence(spark):
     assert [r.n for r in fanout.recursive_sequence(spark, 5).orderBy("n").collect()] == [1, 2, 3, 4, 5]
+    assert fanout.recursive_sequence(spark, 200).count() == 200
 
 
 # Plans, over raw logs at rest.
