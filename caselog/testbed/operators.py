@@ -33,7 +33,6 @@ from caselog.testbed.columns import DRUG_LISTS, case_headers_with_empty_arrays
 from caselog.testbed.registry import query
 from caselog.testbed.sql import (
     APPLICATIONS,
-    CASES,
     DIMENSIONS,
     REACTIONS,
     STG_REPORTS,
