@@ -141,9 +141,9 @@ def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
         agreeing(F.col("left"), F.col("_left")).alias("l"),
         agreeing(F.col("right"), F.col("_right")).alias("r"),
     )
-    spans = reached.where("l + k + r >= n").select(
-        "k1", "k2", F.col("item_id").cast("string").alias("item"), F.struct((F.col("pos") - F.col("l")).alias("s"), F.expr("pos + k + r").alias("e")).alias("span")
-    )
+    span = F.struct((F.col("pos") - F.col("l")).alias("s"), F.expr("pos + k + r").alias("e"))
+    item = F.col("item_id").cast("string").alias("item")
+    spans = reached.where("l + k + r >= n").select("k1", "k2", item, span.alias("span"))
     merged = F.aggregate(
         F.array_sort("spans"),
         F.struct(F.lit(0).alias("end"), F.lit(0).cast("bigint").alias("total")),

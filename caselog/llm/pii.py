@@ -87,12 +87,13 @@ def features(ord: int, x: Column) -> Column:
     match, before, after = x["match"], x["before"], x["after"]
     digits = F.length(F.regexp_replace(match, "[^0-9]", ""))
     separators = F.length(F.regexp_replace(match, "[^ ().:/-]", ""))
-    cue = F.when(before.rlike(CUES[0]), 1).when(before.rlike(CUES[1]), 2).when(before.rlike(CUES[2]), 3).when(before.rlike(CUES[3]), 4).otherwise(0)
+    cue = F.coalesce(*[F.when(before.rlike(c), i) for i, c in enumerate(CUES, 1)], F.lit(0))
+    mark = F.coalesce(*[F.when(match.contains(c), i) for i, c in enumerate("@(-. ", 1)], F.lit(0))
     return F.array(
         F.lit(ord),
         _up_to(digits, 1, 7, 9, 10, 11, 12, 13, 16, 17),
         _up_to(separators, 1, 2, 3, 4, 5),
-        F.when(match.contains("@"), 1).when(match.contains("("), 2).when(match.contains("-"), 3).when(match.contains("."), 4).when(match.contains(" "), 5).otherwise(0),
+        mark,
         _class(F.right(F.regexp_replace(before, r"\+$", ""), F.lit(1))),
         _class(F.left(after, F.lit(1))),
         cue,
@@ -117,10 +118,9 @@ def candidates(docs: DataFrame, *keep: str) -> DataFrame:
 
     def spans(ord: int, column: str, keep_if) -> Column:
         found = F.col(column)
-        made = F.transform(
-            F.filter(found, keep_if),
-            lambda x: F.struct(F.lit(ord).alias("ord"), x["start"].alias("start"), x["end"].alias("end"), F.lit(KINDS[ord]).alias("kind"), features(ord, x).alias("bins")),
-        )
+        place = lambda x: (F.lit(ord).alias("ord"), x["start"].alias("start"), x["end"].alias("end"))
+        kind = F.lit(KINDS[ord]).alias("kind")
+        made = F.transform(F.filter(found, keep_if), lambda x: F.struct(*place(x), kind, features(ord, x).alias("bins")))
         return F.when(F.size(found) == 0, none).otherwise(made.cast(some))
 
     base = [spans(i, k, strict(k)) for i, k in enumerate(KINDS)]
@@ -145,8 +145,8 @@ def find(docs: DataFrame) -> DataFrame:
     Null texts are empty; rows are searched each by itself, so repeated rows and null ids are no matter.
     Without candidates, or without base spans to learn from, nothing is added.
     """
-    rows = candidates(docs.withColumn("_fold", remainder(F.col("doc_id"), HELD_OUT)).select("doc_id", "text", "_fold"), "doc_id", "_fold")
-    rows = save(rows, "pii-candidates")
+    fold = remainder(F.col("doc_id"), HELD_OUT).alias("_fold")
+    rows = save(candidates(docs.select("doc_id", "text", fold), "doc_id", "_fold"), "pii-candidates")
     model, cuts = trained(rows)
     return rows.select("doc_id", *judged(model, cuts))
 
@@ -155,7 +155,8 @@ def judged(model, cuts: dict) -> list[Column]:
     score = lambda x: model.score(x["bins"])
     cut = lambda x: F.coalesce(*[F.when(x["ord"] == k, F.lit(v)) for k, v in sorted(cuts.items())], F.lit(2.0))
     added = F.filter("others", lambda x: F.round(score(x), 3) >= cut(x))
-    plain = lambda c: F.transform(c, lambda x: F.struct(x["ord"].alias("ord"), x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind")))
+    place = lambda x: F.struct(*(x[f].alias(f) for f in ("ord", "start", "end", "kind")))
+    plain = lambda c: F.transform(c, place)
     return [plain("base").alias("base"), F.array_sort(plain(F.concat("base", added))).alias("spans")]
 
 

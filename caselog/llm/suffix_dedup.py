@@ -255,8 +255,9 @@ def sorted_spans(cuts: DataFrame, length: int, gram: int) -> DataFrame:
         edges = np.diff(np.pad(found.astype(np.int8), ((0, 0), (1, 1))), axis=1)
         (row, low), (_, high) = np.nonzero(edges == 1), np.nonzero(edges == -1)
         pos = t["pos"].to_numpy().astype(np.int64)[row]
-        arrays = [t["k1"].combine_chunks().take(pa.array(row)), t["k2"].combine_chunks().take(pa.array(row)), pa.array(pos - high + 1), pa.array(pos - low + length)]
-        return pa.RecordBatch.from_arrays([x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in arrays], ["k1", "k2", "s", "e"])
+        at = t.select(["k1", "k2"]).combine_chunks().take(pa.array(row))
+        keys = [pa.array(at[k].to_numpy()) for k in ("k1", "k2")]
+        return pa.RecordBatch.from_arrays([*keys, pa.array(pos - high + 1), pa.array(pos - low + length)], ["k1", "k2", "s", "e"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -265,7 +266,8 @@ def sorted_spans(cuts: DataFrame, length: int, gram: int) -> DataFrame:
                 continue
             if n >= CHUNK:
                 h = b["h"].to_numpy()
-                split = int(np.searchsorted(h != held[-1]["h"][-1].as_py(), True)) if h[-1] != held[-1]["h"][-1].as_py() else len(h)
+                same = h == held[-1]["h"][-1].as_py()
+                split = len(h) if same.all() else int(np.argmin(same))
                 held.append(b.slice(0, split))
                 if split < len(h):
                     yield spans(held)
@@ -298,7 +300,9 @@ def counted_spans(cuts: DataFrame, length: int, gram: int) -> DataFrame:
                 a, c = (x.of(x.prefixes(text), first, first + length).view(np.int64) for x in (one, two))
                 n = len(first)
                 start = b["pos"][i].as_py() - b["before"][i].as_py() + first
-                arrays = [pa.array(a), pa.array(c), *(pa.array([b[k][i].as_py()] * n, pa.int64()) for k in ("k1", "k2")), pa.array(start), pa.array([b["spare"][i].as_py()] * n, pa.bool_())]
+                keys = [pa.array([b[k][i].as_py()] * n, pa.int64()) for k in ("k1", "k2")]
+                spare = pa.array([b["spare"][i].as_py()] * n, pa.bool_())
+                arrays = [pa.array(a), pa.array(c), *keys, pa.array(start), spare]
                 yield pa.RecordBatch.from_arrays(arrays, ["w1", "w2", "k1", "k2", "s", "spare"])
 
     windows = cuts.mapInArrow(run, "w1 bigint, w2 bigint, k1 bigint, k2 bigint, s bigint, spare boolean")
