@@ -8,7 +8,8 @@ symbol exclusion. Below the empty context all bytes are alike.
 
 The trie is counted over the distinct words of all training documents, so it grows with the corpus, and
 each distinct word is scored once. It is broadcast in shards of at most MAX_NODES nodes, split by the
-last byte of the context, which all contexts of one prediction share; each shard adds its predictions.
+last byte of the context, which all contexts of one prediction share; each shard adds its predictions
+to the words' table.
 
 Words with at least a millionth of all tokens are at most a million, whatever the data: documents look
 those up in a broadcast. All others are summed by word hash through a shuffle, one row per document
@@ -35,7 +36,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ORDER = 6
 FOLDS = 10
-MAX_NODES = 6_000_000
+MAX_NODES = 2_000_000
 FREQUENT_SHARE = 1_000_000
 HELD_WORDS = 300_000
 SPACE, END = 32, 10
@@ -182,10 +183,10 @@ def shards(nodes: DataFrame, limit: int) -> list[list[int]]:
 
 
 def coded(words: DataFrame, nodes: DataFrame, n_train: int, limit: int = MAX_NODES) -> tuple[DataFrame, float]:
-    """The words with `code`, the log10 probability of their spelling; and that of the end."""
+    """A table of the words with `code`, the log10 probability of their spelling; and that of the end."""
     spark = words.sparkSession
     last = F.shiftright("key", 8).bitwiseAND(F.lit(255))
-    parts, end_code = [], 0.0
+    coded_words, end_code = words.withColumn("code", F.lit(0.0)), 0.0
     for group in shards(nodes, limit):
         got = nodes.where((F.col("k") == 0) | last.isin(group)).toArrow()
         k, key, n = (got[c].to_numpy().astype(np.int64) for c in ("k", "key", "n"))
@@ -207,15 +208,11 @@ def coded(words: DataFrame, nodes: DataFrame, n_train: int, limit: int = MAX_NOD
                 text, context = spelled(held)
                 code = code_of(levels, text, context, own[text[:-1]])
                 sums = np.add.reduceat(code, np.cumsum([0] + [len(w) + 1 for w in held[:-1]]))
-                yield pa.RecordBatch.from_arrays([b["word"], b["c"], b["n"], pa.array(sums)], ["word", "c", "n", "code"])
+                sums = pa.array(sums + b["code"].to_numpy())
+                yield pa.RecordBatch.from_arrays([b["word"], b["c"], b["n"], sums], ["word", "c", "n", "code"])
 
-        parts.append(words.mapInArrow(run, "word binary, c bigint, n bigint, code double"))
-    if len(parts) == 1:
-        return parts[0], end_code
-    whole = parts[0]
-    for p in parts[1:]:
-        whole = whole.unionByName(p)
-    return whole.groupBy("word", "c", "n").agg(F.sum("code").alias("code")), end_code
+        coded_words = save(coded_words.mapInArrow(run, "word binary, c bigint, n bigint, code double"), "coded-words")
+    return coded_words, end_code
 
 
 def hashed(word: bytes) -> int:
@@ -234,7 +231,6 @@ def score(docs: DataFrame, order: int = ORDER, max_nodes: int = MAX_NODES) -> Da
     words = save(word_counts(docs), "words")
     nodes = save(trie_counts(words, order), "trie")
     made, end_code = coded(words, nodes, n_train, max_nodes)
-    made = save(made, "coded-words")
     sums = made.agg(F.sum("c").alias("c"), F.count_if(F.col("c") > 0).alias("v"), F.sum("n").alias("n")).first()
     total = (sums["c"] or 0) + n_train
     distinct = sums["v"] + (n_train > 0)
