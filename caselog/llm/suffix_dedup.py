@@ -287,27 +287,45 @@ def sorted_spans(cuts: DataFrame, length: int, gram: int) -> DataFrame:
 
 def counted_spans(cuts: DataFrame, length: int, gram: int) -> DataFrame:
     """As `sorted_spans`, for contexts of hot anchors: a shuffle of every window by two hashes tells whether it is
-    in more than one place. Anchors close together share windows, which is one place."""
+    in more than one place. Anchors close together share windows, which is one place. Windows that a batch
+    already has twice are sure to repeat: one of them stands for all in the shuffle, and the others go
+    through it under keys of their own, so that no window is hot."""
     reach = length - gram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, two = Hasher(), Hasher(SECOND)
         for b in batches:
+            got = []
             for i, cut in enumerate(b["cut"].to_pylist()):
                 text = np.frombuffer(cut, dtype=np.uint8)
-                first = np.arange(min(reach, b["before"][i].as_py()) + 1)
+                before = b["before"][i].as_py()
+                first = np.arange(min(reach, before) + 1)
                 first = first[first + length <= len(text)]
                 a, c = (x.of(x.prefixes(text), first, first + length).view(np.int64) for x in (one, two))
-                n = len(first)
-                start = b["pos"][i].as_py() - b["before"][i].as_py() + first
-                keys = [pa.array([b[k][i].as_py()] * n, pa.int64()) for k in ("k1", "k2")]
-                spare = pa.array([b["spare"][i].as_py()] * n, pa.bool_())
-                arrays = [pa.array(a), pa.array(c), *keys, pa.array(start), spare]
-                yield pa.RecordBatch.from_arrays(arrays, ["w1", "w2", "k1", "k2", "s", "spare"])
-
-    windows = cuts.mapInArrow(run, "w1 bigint, w2 bigint, k1 bigint, k2 bigint, s bigint, spare boolean")
+                fixed = (np.full(len(first), b[k][i].as_py(), dtype=np.int64) for k in ("k1", "k2", "spare"))
+                got.append(np.stack([a, c, *fixed, b["pos"][i].as_py() - before + first]))
+            if not got:
+                continue
+            a, c, k1, k2, spare, s = np.concatenate(got, axis=1)
+            order = np.lexsort((spare, s, k2, k1, c, a))
+            a, c, k1, k2, spare, s = (x[order] for x in (a, c, k1, k2, spare, s))
+            place = np.ones(len(a), dtype=bool)
+            place[1:] = (np.diff(a) != 0) | (np.diff(c) != 0) | (np.diff(k1) != 0) | (np.diff(k2) != 0) | (np.diff(s) != 0)
+            a, c, k1, k2, spare, s = (x[place] for x in (a, c, k1, k2, spare, s))
+            new = np.ones(len(a), dtype=bool)
+            new[1:] = (np.diff(a) != 0) | (np.diff(c) != 0)
+            sizes = np.diff(np.append(np.flatnonzero(new), len(a)))
+            sure = np.repeat(sizes, sizes) > 1
+            own = sure & ~new
+            a[own], c[own] = mixed(k1[own].view(np.uint64) + s[own].astype(np.uint64)).view(np.int64), k2[own]
+            columns = [pa.array(x) for x in (a, c, k1, k2, s, spare.astype(bool), sure, sure & new)]
+            yield pa.RecordBatch.from_arrays(columns, ["w1", "w2", "k1", "k2", "s", "spare", "sure", "many"])
+
+    schema = "w1 bigint, w2 bigint, k1 bigint, k2 bigint, s bigint, spare boolean, sure boolean, many boolean"
+    windows = cuts.mapInArrow(run, schema)
     place, equal = F.struct("k1", "k2", "s"), Window.partitionBy("w1", "w2")
-    twice = windows.withColumn("elsewhere", F.min(place).over(equal) < F.max(place).over(equal)).where("elsewhere and not spare")
+    elsewhere = (F.min(place).over(equal) < F.max(place).over(equal)) | F.max("many").over(equal)
+    twice = windows.withColumn("elsewhere", elsewhere).where("(sure or elsewhere) and not spare")
     return twice.select("k1", "k2", "s", (F.col("s") + length).alias("e"))
 
 
