@@ -110,7 +110,7 @@ def _report_columns() -> dict[str, str]:
         "receiptdate": day,
         "receivedate": day,
         "transmissiondate": day,
-        "receiptdateformat": "'102'",
+        "receiptdateformat": "if(o_orderkey % 20 = 7, '610', '102')",
     }
 
 

@@ -69,12 +69,31 @@ select nct_id, o_orderstatus || v as overall_status, o_orderpriority as official
   {_date_sql("completion_text")} as completion_date, {_precision_sql("completion_text")} as completion_date_precision,
   o_orderdate::date::varchar as study_first_post_date, (o_orderdate::date + 20 * v::int)::varchar as last_update_post_date,
   case when o_custkey % 2 <> 0 then (o_orderdate::date + 20 * v::int)::varchar end as results_first_post_date,
+  case when o_custkey % 4 = 0 then 'ACR' || (o_custkey % 50) end as acronym, 'Study ' || o_orderkey as brief_title,
+  'S-' || o_custkey as org_study_id, 'Org ' || (o_custkey % 100) as organization_name, 'INDUSTRY' as organization_class,
+  case when o_orderkey % 30 = 0 then 'OLD' || o_orderkey end as nct_id_aliases,
+  'Org ' || (o_custkey % 100) as lead_sponsor_name, 'INDUSTRY' as lead_sponsor_class,
+  'Col ' || (o_custkey % 9) || '/OTHER' as collaborators, 'ESTIMATED' as enrollment_type, 'RANDOMIZED' as allocation,
+  'PARALLEL' as intervention_model, 'TREATMENT' as primary_purpose,
+  case when o_custkey % 2 = 0 then 'NONE' else 'DOUBLE' end as masking,
+  case when o_custkey % 2 = 0 then 'kw' end as keywords, 'A/EXPERIMENTAL' as arm_groups,
+  'DRUG/Drug ' || (o_custkey % 60) as interventions, null::varchar as last_known_status,
+  case when o_orderkey % 40 = 0 then 'funding' end as why_stopped,
+  case when o_custkey % 11 = 0 then 'NCT' || o_custkey end as expanded_access_ref_nct_id,
+  'ESTIMATED' as primary_completion_date_type, 'ESTIMATED' as completion_date_type,
+  strftime(pulled_at + interval 1 hour, '%Y-%m-%d %H:%M:%S.%f') as loaded_at,
   {iso("pulled_at")} as pulled_at, source_file, batch_id
 from studies""",
     ),
 )
 def stg_studies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns; lists as text, their structs' fields joined by a slash."""
     staged = stage_studies(study_log(spark, sf_dir), content_tiebreak=True)
+
+    def items(column: str, *fields: str):
+        parts = F.transform(column, lambda x: F.concat_ws("/", *[x[f] for f in fields]))
+        return F.array_join(parts, "|").alias(column)
+
     return staged.select(
         "nct_id",
         "overall_status",
@@ -94,6 +113,29 @@ def stg_studies(spark: SparkSession, sf_dir: str) -> DataFrame:
         "study_first_post_date",
         "last_update_post_date",
         "results_first_post_date",
+        "acronym",
+        "brief_title",
+        "org_study_id",
+        "organization_name",
+        "organization_class",
+        F.array_join("nct_id_aliases", "|").alias("nct_id_aliases"),
+        "lead_sponsor_name",
+        "lead_sponsor_class",
+        items("collaborators", "name", "class"),
+        "enrollment_type",
+        "allocation",
+        "intervention_model",
+        "primary_purpose",
+        "masking",
+        F.array_join("keywords", "|").alias("keywords"),
+        items("arm_groups", "label", "type"),
+        items("interventions", "type", "name"),
+        "last_known_status",
+        "why_stopped",
+        "expanded_access_ref_nct_id",
+        "primary_completion_date_type",
+        "completion_date_type",
+        F.col("_loaded_at").alias("loaded_at"),
         *_landing(staged),
     )
 
@@ -285,7 +327,7 @@ def headline(spark: SparkSession, sf_dir: str) -> DataFrame:
             [
                 ("raw_rows", "select count(*) from case_log", None),
                 ("raw_distinct_cases", "select count(distinct id) from case_log", "raw_rows"),
-                ("receipt_date_format_variants", "select least(count(*), 1) from case_log", None),
+                ("receipt_date_format_variants", "select count(distinct format) from case_log", None),
                 ("staged_cases", "select count(*) from reports", None),
                 ("cases_flagged_duplicate", "select count(duplicate) from reports", "staged_cases"),
                 ("cases_no_reactions", "select count(*) from reports where len(reactions) = 0", "staged_cases"),

@@ -32,6 +32,7 @@ case_log as (
     [{'term': case when (l_suppkey + i) % 13 = 0 then '' else 'term ' || (o_custkey + i) % 64 end,
       'outcome': case when (qty + i) % 8 between 1 and 6 then ((qty + i) % 8)::varchar end}
      for i in range((qty + 2) % 5)] as reactions,
+    case when o_orderkey % 20 = 7 then '610' else '102' end as format,
     o_orderkey, o_custkey, o_orderstatus, o_orderpriority, v
   from case_rows cross join (values (0), (1)) as revisions(v)
   where v = 0 or o_orderkey % 10 = 0
