@@ -239,6 +239,49 @@ def test_language_model_scores_do_not_depend_on_shards(spark, small):
     assert all(abs(one[d] - many[d]) < 1e-6 * abs(one[d]) for d in one)
 
 
+def test_language_model_scores_follow_the_order_of_words(spark, small):
+    words = "over the hill a quick brown fox jumps and runs away from one lazy old dog".split()
+    rows = [(i, " ".join(words)) for i in range(40)]
+    rows += [(40, " ".join(reversed(words))), (41, " ".join(sorted(words))), (42, "  ".join(words).upper())]
+    got = {r["doc_id"]: r for r in language_model.score(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    assert got[40]["score"] < got[0]["score"] - 1 and got[41]["score"] < got[0]["score"] - 1
+    assert abs(got[42]["score"] - got[0]["score"]) < 1e-6
+    assert abs(got[40]["base_score"] - got[0]["base_score"]) < 1e-6
+
+
+def _escaping(rows, order, discount):
+    """Scores by the definition: counts of contexts of each text, and recursion with exclusion."""
+    seen = defaultdict(Counter)
+    lines = [(d, b"\n" * order + b" ".join(brute.tokens(x))) for d, x in rows]  # the last token is the end
+    lines = [(d, line[:-2] + b"\n" if len(line) > order + 1 else line) for d, line in lines]
+    for d, line in lines:
+        for i in range(order, len(line) if not brute.held(d, 10) else 0):
+            for k in range(order + 1):
+                seen[line[i - k : i]][line[i]] += 1
+
+    def chance(context, byte):
+        lower = context[1:]
+        have = seen.get(context)
+        if not have:
+            return chance(lower, byte) if context else 1 / 256
+        total = sum(have.values())
+        if byte in have:
+            return (have[byte] - discount) / total
+        below = (lambda b: chance(lower, b)) if context else lambda b: 1 / 256
+        return discount * len(have) / total * below(byte) / (1 - sum(map(below, have)))
+
+    return {d: sum(np.log10(chance(line[i - order : i], line[i])) for i in range(order, len(line))) for d, line in lines}
+
+
+@pytest.mark.parametrize("frequent", [language_model.MAX_FREQUENT, 50])
+def test_language_model_by_its_definition(spark, small, monkeypatch, frequent):
+    monkeypatch.setattr(language_model, "MAX_FREQUENT", frequent)
+    rows = [(i, t) for i, t in enumerate(["the cat sat on the mat", "the dog sat", "", None, "A  mat\na cat", "x é y", "the cat ran off"] * 3)]
+    got = language_model.score(spark.createDataFrame(rows, "doc_id int, text string"), max_nodes=20).collect()
+    want = _escaping(rows, language_model.ORDER, language_model.DISCOUNT)
+    assert all(abs(r["score"] - want[r["doc_id"]]) < 1e-6 for r in got) and len(got) == len(rows)
+
+
 def test_rules_on_odd_rows(odd):
     got = Counter((r["doc_id"], r["n_words"], r["base_failed"], r["kept"]) for r in quality_rules.apply_rules(odd).collect())
     assert sum(got.values()) == len(ODD_TEXTS)
