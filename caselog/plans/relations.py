@@ -39,20 +39,31 @@ def drug_crosswalk(drugs: DataFrame, applications: DataFrame) -> DataFrame:
 
 
 def descriptor_ancestors(descriptors: DataFrame) -> DataFrame:
-    """(descriptor_ui, tree_number, ancestor_number, depth): every prefix of each tree number, itself
-    included, without recursion. Depth counts from the root, 1."""
-    numbers = descriptors.select("descriptor_ui", F.explode("tree_numbers").alias("tree_number"))
+    """(descriptor_ui, tree_number, ancestor_number, depth, parent_number): every prefix of each tree
+    number, itself included, without recursion, and the number above it. Depth counts from the root, 1,
+    which has no parent. A descriptor without tree numbers has one row, all else NULL."""
+    numbers = descriptors.select("descriptor_ui", F.explode_outer("tree_numbers").alias("tree_number"))
     parts = F.split("tree_number", r"\.")
-    depths = numbers.withColumn("depth", F.explode(F.sequence(F.lit(1), F.size(parts))))
-    prefix = F.array_join(F.slice(parts, F.lit(1), F.col("depth")), ".")
-    return depths.select("descriptor_ui", "tree_number", prefix.alias("ancestor_number"), "depth")
+    places = F.when(F.col("tree_number").isNotNull(), F.sequence(F.lit(1), F.size(parts)))
+    depths = numbers.withColumn("depth", F.explode_outer(places))
+    prefix = lambda n: F.array_join(F.slice(parts, F.lit(1), n), ".")
+    parent = F.when(F.col("depth") > 1, prefix(F.col("depth") - 1))
+    return depths.select(
+        "descriptor_ui", "tree_number", prefix(F.col("depth")).alias("ancestor_number"), "depth", parent.alias("parent_number")
+    )
 
 
 def descriptor_hierarchy(descriptors: DataFrame) -> DataFrame:
     """Per tree number of any depth: how many descriptors are at or below it."""
+    return descriptor_edges(descriptors).where("ancestor_number is not null").drop("parent_number")
+
+
+def descriptor_edges(descriptors: DataFrame) -> DataFrame:
+    """Per tree number of any depth, with its parent: how many descriptors are at or below it. Those
+    without a position are counted under NULL."""
     return (
         descriptor_ancestors(descriptors)
-        .groupBy("ancestor_number", "depth")
+        .groupBy("ancestor_number", "parent_number", "depth")
         .agg(F.countDistinct("descriptor_ui").alias("n_descriptors"))
     )
 

@@ -59,6 +59,22 @@ def descriptor_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return relations.descriptor_hierarchy(stage_descriptors(vocabulary_log(spark, sf_dir)))
 
 
+@query(
+    "descriptor_edges",
+    with_(
+        VOCABULARY,
+        """, listed as (select descriptor_ui, unnest(tree_numbers) as t from vocabulary),
+numbers as (select descriptor_ui, t, string_split(t, '.') as p from vocabulary left join listed using (descriptor_ui)),
+depths as (select *, unnest(case when t is null then [null] else range(1, len(p) + 1) end) as depth from numbers)
+select case when depth is not null then array_to_string(p[1:depth], '.') end as ancestor_number,
+  case when depth > 1 then array_to_string(p[1:depth - 1], '.') end as parent_number, depth, count(distinct descriptor_ui) as n_descriptors
+from depths group by all""",
+    ),
+)
+def descriptor_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return relations.descriptor_edges(stage_descriptors(vocabulary_log(spark, sf_dir)))
+
+
 @query(
     "snapshots",
     with_(

@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 from caselog.operators import checks
 from caselog.operators.current import latest_per_key, newest_batch
 from caselog.operators.joins import Dimension, attach_dimension
-from caselog.plans import profiles
+from caselog.plans import profiles, relations
 from caselog.plans.intermediate import reactions, suspect_drugs
 from caselog.plans.staging import (
     stage_applications,
@@ -363,3 +363,16 @@ def test_fact_and_dimensions_share_keys(spark, seed):
     fact = fact_reactions(react)
     assert checks.relationship(fact, "reaction_key", dim_reaction(react), "reaction_key").count() == 0
     assert checks.relationship(fact, "outcome_key", dim_outcome(seed), "outcome_key").count() == 0
+
+
+def test_descriptors_without_position_stay(spark):
+    rows = [("a", ["A01.10", "B"]), ("b", []), ("c", None), ("d", ["A01"])]
+    df = spark.createDataFrame(rows, "descriptor_ui string, tree_numbers array<string>")
+    got = {tuple(r) for r in relations.descriptor_ancestors(df).collect()}
+    assert got == {
+        ("a", "A01.10", "A01", 1, None), ("a", "A01.10", "A01.10", 2, "A01"), ("a", "B", "B", 1, None),
+        ("b", None, None, None, None), ("c", None, None, None, None), ("d", "A01", "A01", 1, None),
+    }
+    counts = {(r["ancestor_number"], r["parent_number"]): r["n_descriptors"] for r in relations.descriptor_edges(df).collect()}
+    assert counts == {("A01", None): 2, ("A01.10", "A01"): 1, ("B", None): 1, (None, None): 2}
+    assert {r["ancestor_number"]: r["n_descriptors"] for r in relations.descriptor_hierarchy(df).collect()} == {"A01": 2, "A01.10": 1, "B": 1}
