@@ -2,7 +2,8 @@
 
 High-recall patterns propose candidates. Each candidate's value is hashed, and the hash is counted over
 the whole corpus: in how many repositories and of how many owners it occurs. A value that many share is
-an example copied around; one that few owners have, and that looks random, is a live credential. Base
+an example copied around; one that few owners have, and that looks random, is a live credential. In how
+many of an owner's repositories it stands says nothing against it, as copies of a text do too. Base
 spans stay whatever the verdict; candidates of the other patterns are added where they are live.
 
 The first pass keeps candidates only, not texts; what is shuffled are hashes, pre-aggregated in the
@@ -32,7 +33,7 @@ RANDOM = r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/_-]{32,}+={0,2}"
 KINDS = ("assign", "access", "hex", "keyed", "signed", "login", "random")
 BASE = 3
 
-LIVE_OWNERS, LIVE_REPOSITORIES = 2, 5
+LIVE_OWNERS = 2
 SPAN = "array<struct<start:bigint,ord:int,kind:string,end:bigint,value:string>>"
 
 
@@ -61,7 +62,7 @@ def candidates(docs: DataFrame, repository: str, owner: str) -> DataFrame:
     df = add_matches(df, "keyed", KEYED, t.rlike("_|-|AIza"))
     df = add_matches(df, "signed", SIGNED, t.contains("eyJ"))
     df = add_matches(df, "login", LOGIN, t.contains("://"))
-    df = add_matches(df, "random", RANDOM, t.rlike("[0-9]"))
+    df = add_matches(df, "random", RANDOM)
     df = df.drop("_t")
 
     def spans(ord: int, kind: str) -> Column:
@@ -106,7 +107,7 @@ def scan(docs: DataFrame, repository: str = "doc_id", owner: str = "source") ->
     values = save(values.withColumn("hash", F.sha2("span.value", 256)).withColumn("random", looks_random(F.col("span.value"))), "secret-values")
     seen = save(ownership(values), "secret-owners")
     known = lookup(values.distinct(), seen, "hash")
-    live = (F.col("n_owners") <= LIVE_OWNERS) & (F.col("n_repositories") <= LIVE_REPOSITORIES) & F.col("random")
+    live = (F.col("n_owners") <= LIVE_OWNERS) & F.col("random")
     judged = F.struct("span.start", "span.ord", "span.kind", "span.end", "n_repositories", "n_owners", live.alias("live"))
     by_row = known.groupBy("k1", "k2").agg(F.sort_array(F.collect_set(judged)).alias("judged"))
     joined_rows = rows.select("doc_id", "k1", "k2").join(by_row, ["k1", "k2"], "left")

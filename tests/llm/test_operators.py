@@ -352,6 +352,17 @@ def test_secrets_widely_copied_are_examples(spark, small):
     assert texts[9] == "key [SECRET]" and texts[0] == f"key {example}" and texts[10] is None
 
 
+@pytest.mark.parametrize("copies", [6, 1000])
+def test_secrets_of_one_owner_are_live_in_any_number_of_documents(spark, small, copies):
+    keyed, letters = "sk-Zyx987Wvu654Tsr321Qpo", "QwErTyUiOpAsDfGhJkLzXcVbNmQaWsEdRfTg"
+    rows = [(i, f"{a} key sk-Zyx987Wvu654Tsr321Qpo and {letters}", "one") for i, a in enumerate(["same", "other"] * (copies // 2))]
+    rows += [(copies + i, f"key {keyed[:-1]}X", f"o{i}") for i in range(3)]
+    got = secrets.scan(spark.createDataFrame(rows, "doc_id int, text string, source string")).collect()
+    kinds = {r["doc_id"]: {x["kind"] for x in r["spans"]} for r in got}
+    assert len(kinds) == copies + 3
+    assert all(v == ({"keyed", "random"} if i < copies else set()) for i, v in kinds.items())
+
+
 def test_redaction_keeps_rows_and_columns(odd):
     got = secrets.redact(odd)
     assert got.columns == odd.columns and got.count() == len(ODD_TEXTS)
