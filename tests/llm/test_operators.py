@@ -249,6 +249,25 @@ def test_language_model_scores_follow_the_order_of_words(spark, small):
     assert abs(got[40]["base_score"] - got[0]["base_score"]) < 1e-6
 
 
+def test_language_model_gathers_no_crowded_last_byte(spark, small, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    monkeypatch.setattr(language_model, "MAX_FREQUENT", 50, raising=False)
+    monkeypatch.setattr(language_model, "FREQUENT_SHARE", 50)
+    gathered, whole = [], DataFrame.toArrow
+
+    def noted(df):
+        got = whole(df)
+        gathered.append(got.num_rows)
+        return got
+
+    monkeypatch.setattr(DataFrame, "toArrow", noted)
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join("".join(rng.choice(list("abcdef"), 4)) + "ee" + x for x in "abcdefgh")) for i in range(60)]
+    assert language_model.score(spark.createDataFrame(rows, "doc_id int, text string"), max_nodes=50).count() == 60
+    assert gathered and max(gathered) <= 50
+
+
 def _escaping(rows, order, discount):
     """Scores by the definition: counts of contexts of each text, and recursion with exclusion."""
     seen = defaultdict(Counter)
