@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from caselog.llm import chat, decontamination, language_model, packing, pii, quality_classifier, quality_rules, secrets, simhash, suffix_dedup
+from caselog.llm import chat, decontamination, language_model, packing, pii, quality_classifier, quality_rules, secrets, simhash, suffix_dedup, window_dedup
 from caselog.llm.common import run_query
 
 _MODULES = {
@@ -16,6 +16,7 @@ _MODULES = {
     "op8_suffix_dedup": suffix_dedup,
     "op9_quality_classifier": quality_classifier,
     "op10_secrets": secrets,
+    "op13_substring_dedup": window_dedup,
 }
 
 QUERIES = {name: run_query(module.query) for name, module in _MODULES.items()}
