@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from caselog.llm import chat, clustering, decontamination, language_model, packing, pii, quality_classifier, quality_rules, secrets, simhash, suffix_dedup, window_dedup
+from caselog.llm import chat, clustering, decontamination, language_model, lexical_search, packing, pii, quality_classifier, quality_rules, secrets, simhash, suffix_dedup, window_dedup
 from caselog.llm.common import run_query
 
 _MODULES = {
@@ -16,6 +16,7 @@ _MODULES = {
     "op8_suffix_dedup": suffix_dedup,
     "op9_quality_classifier": quality_classifier,
     "op10_secrets": secrets,
+    "op11_lexical_search": lexical_search,
     "op12_clustering": clustering,
     "op13_substring_dedup": window_dedup,
 }
