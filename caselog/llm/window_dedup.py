@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -155,16 +156,22 @@ def spans_of(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nd
     return doc[at], start[at], reach[np.append(at[1:], len(doc)) - 1] - doc[at] * shift
 
 
-_ROWS = "h bigint, c bigint, id bigint, k bigint, at bigint, until bigint, kind tinyint"
+#: `at` holds a position and the kind of the row, and zeros stand together: rows of few bytes to shuffle.
+_ROWS = "k bigint, h bigint, c bigint, id bigint, at bigint"
+_POSITION, _KIND = "at div 4", "at % 4"
 
 
 def _rows(t: pa.Table, parts: list[tuple]) -> pa.RecordBatch:
-    """Parts (h, c, document, at, until, kind) as rows with the documents' keys."""
-    h, c, doc, at, until = (np.concatenate([p[i] for p in parts]) for i in range(5))
-    kind = np.concatenate([np.full(len(p[0]), p[5], dtype=np.int8) for p in parts])
-    keys = [t[k].to_numpy()[doc] for k in ("id", "k")]
-    arrays = [pa.array(x) for x in (h.view(np.int64), c.view(np.int64), *keys, at, until, kind)]
-    return pa.RecordBatch.from_arrays(arrays, ["h", "c", "id", "k", "at", "until", "kind"])
+    """Parts (h, c, document, position, kind) as rows with the documents' keys."""
+    h, c, doc = (np.concatenate([p[i] for p in parts]) for i in range(3))
+    at = np.concatenate([p[3] * 4 + p[4] for p in parts])
+    id_, k = (t[x].to_numpy()[doc] for x in ("id", "k"))
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in (k, h.view(np.int64), c.view(np.int64), id_, at)], ["k", "h", "c", "id", "at"])
+
+
+def _known(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple:
+    """The rows of ranges that repeat; they need not meet any other row."""
+    return _spread(doc, start), end.view(np.uint64), doc, start, LATER
 
 
 def _later(h: np.ndarray, c: np.ndarray, doc: np.ndarray, at: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -191,7 +198,7 @@ def _spread(doc: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def anchor_rows(docs: DataFrame, length: int, period: int, cover: tuple[int, ...]) -> DataFrame:
-    """A row for each anchor: h, c, the document's key, its position and kind.
+    """A row for each anchor: h, c, the document's key, its position and kind. Of LATER rows c is the range's end.
 
     PLAIN rows meet in the shuffle by h. Of equal contexts in a batch there is the earliest; the others
     are LATER rows, merged ranges [at, until) of repeated words. Where a batch has more than
@@ -218,10 +225,9 @@ def anchor_rows(docs: DataFrame, length: int, period: int, cover: tuple[int, ...
             begins = runs(h)
             sizes = np.diff(np.append(np.flatnonzero(begins), len(h)))
             many = np.repeat(sizes, sizes) > BATCH_CONTEXTS
-            parts = [(h[x], c[x], doc[x], pos[x], pos[x], kind) for x, kind in ((~many, PLAIN), (many & begins, MANY))]
-            parts.append((_spread(doc[many], pos[many]), c[many], doc[many], pos[many], pos[many], OPEN))
-            parts.append((_spread(*spans[:2]), np.zeros(len(spans[0]), dtype=np.uint64), *spans, LATER))
-            yield _rows(t, parts)
+            parts = [(h[x], c[x], doc[x], pos[x], kind) for x, kind in ((~many, PLAIN), (many & begins, MANY))]
+            parts.append((_spread(doc[many], pos[many]), c[many], doc[many], pos[many], OPEN))
+            yield _rows(t, [*parts, _known(*spans)])
 
     return docs.select("id", "k", "text").mapInArrow(run, _ROWS)
 
@@ -233,15 +239,12 @@ def asked(rows: DataFrame) -> DataFrame:
     same, anchor = Window.partitionBy("h", "c").orderBy("id", "k", "at"), Window.partitionBy("h")
     found = (
         rows.withColumn("nth", F.rank().over(same))
-        .withColumn("several", (F.min("c").over(anchor) < F.max("c").over(anchor)) | (F.max("kind").over(anchor) == MANY))
-        .withColumn(
-            "until",
-            F.when(F.col("kind") == LATER, F.col("until"))
-            .when((F.col("kind") == PLAIN) & (F.col("nth") > 1), F.lit(-1).cast("bigint")),
-        )
+        .withColumn("several", (F.min("c").over(anchor) < F.max("c").over(anchor)) | (F.max(F.expr(_KIND)).over(anchor) == MANY))
+        .withColumn("kind", F.expr(_KIND))
         .where(f"kind in ({LATER}, {OPEN}) or kind = {PLAIN} and (nth > 1 or several)")
+        .withColumn("until", F.when(F.col("kind") == LATER, F.col("c")).when((F.col("kind") == PLAIN) & (F.col("nth") > 1), -1))
     )
-    return found.groupBy("id", "k").agg(F.collect_set(F.struct("at", "until")).alias("asked"))
+    return found.groupBy("id", "k").agg(F.collect_set(F.struct(F.expr(_POSITION).alias("at"), "until")).alias("asked"))
 
 
 def window_rows(docs: DataFrame, found: DataFrame, length: int, period: int) -> DataFrame:
@@ -250,7 +253,7 @@ def window_rows(docs: DataFrame, found: DataFrame, length: int, period: int) ->
     gram, reach = length - period + 1, period - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t, s in batches_of_words(batches, BATCH_WORDS):
+        for t, s in batches_of_words(unpacked(batches), BATCH_WORDS):
             lists = t["asked"].combine_chunks()
             doc = np.repeat(np.arange(t.num_rows), pc.list_value_length(lists).fill_null(0).to_numpy())
             pairs = lists.flatten()
@@ -271,19 +274,18 @@ def window_rows(docs: DataFrame, found: DataFrame, length: int, period: int) ->
             h, w, doc, first = (x[order] for x in (h, w, doc, first))
             late, one = ~earliest, earliest & runs(h, w)
             spans = spans_of(*(np.concatenate(x) for x in ((doc_known, doc[late]), (start, first[late]), (end, first[late] + length))))
-            parts = [(h[one], w[one], doc[one], first[one], first[one] + length, PLAIN)]
-            parts.append((_spread(*spans[:2]), np.zeros(len(spans[0]), dtype=np.uint64), *spans, LATER))
-            yield _rows(t, parts)
+            yield _rows(t, [(h[one], w[one], doc[one], first[one], PLAIN), _known(*spans)])
 
     # the same columns as in `deduplicate`, so that the texts are shuffled once for both
     return docs.join(found, ["id", "k"], "left").select("doc_id", "id", "k", "text", "asked").mapInArrow(run, _ROWS)
 
 
-def repeated(rows: DataFrame) -> DataFrame:
+def repeated(rows: DataFrame, length: int) -> DataFrame:
     """(id, k, spans): the repeated ranges, not merged yet, of each document that has some."""
     same = Window.partitionBy("h", "c").orderBy("id", "k", "at")
-    late = rows.withColumn("nth", F.rank().over(same)).where(f"kind = {LATER} or nth > 1")
-    return late.groupBy("id", "k").agg(F.collect_list(F.struct("at", "until")).alias("spans"))
+    late = rows.withColumn("nth", F.rank().over(same)).where(f"{_KIND} = {LATER} or nth > 1")
+    until = F.when(F.expr(_KIND) == LATER, F.col("c")).otherwise(F.expr(_POSITION) + length)
+    return late.groupBy("id", "k").agg(F.collect_list(F.struct(F.expr(_POSITION).alias("at"), until.alias("until"))).alias("spans"))
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -300,6 +302,28 @@ def keyed(docs: DataFrame) -> DataFrame:
     )
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """The documents with their texts compressed: they are the larger part of what is shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=1).compress
+        for b in batches:
+            pressed = pa.array([press(t.as_py()) for t in b["text"].cast(pa.binary())], pa.binary())
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["id"], b["k"], pressed], ["doc_id", "id", "k", "text"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.mapInArrow(run, f"doc_id {kind}, id bigint, k bigint, text binary")
+
+
+def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of `packed` documents with their texts as they were."""
+    unpress = zstandard.ZstdDecompressor().decompress
+    for b in batches:
+        if b.num_rows:
+            texts = pa.array([unpress(t.as_py()) for t in b["text"]], pa.binary())
+            yield b.set_column(b.schema.get_field_index("text"), "text", texts)
+
+
 def deduplicate(
     docs: DataFrame, length: int = LENGTH, period: int = PERIOD, cover: tuple[int, ...] = COVER, keep_text: bool = False
 ) -> DataFrame:
@@ -314,12 +338,13 @@ def deduplicate(
         raise ValueError("cover must be a difference cover modulo a period of at most the length")
     rows = keyed(docs)
     known = asked(anchor_rows(rows, length, period, cover))
-    found = repeated(window_rows(rows, known, length, period))
+    rows = packed(rows)
+    found = repeated(window_rows(rows, known, length, period), length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in unpacked(batches):
             out = []
-            for value, spans in zip(b["text"].cast(pa.binary()), b["spans"].to_pylist(), strict=True):
+            for value, spans in zip(b["text"], b["spans"].to_pylist(), strict=True):
                 words, kept, at = value.as_py().split(), [], 0
                 for s, e in sorted((x["at"], x["until"]) for x in spans or []):
                     kept += words[at:s] if at < s else []
