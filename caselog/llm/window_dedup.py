@@ -12,11 +12,11 @@ time: two equal windows, wherever they start, contain the same gram at the same
 2. A window over the anchors' hash finds contexts that stand elsewhere too, whose later ones repeat as
    a whole, and anchors with several contexts.
 3. The first of each of these is extended: all windows around it are hashed and compared with the windows
-   around the other contexts of the anchor. The windows that stand earlier too repeat.
+   around other contexts. The windows that stand earlier too repeat.
 4. The repeated ranges are merged per document, and the other words kept.
 
-Sequences of words count as equal if two 64-bit hashes of them are: of a gram and of its context, or of a
-gram and of a window that contains it.
+Sequences of words count as equal if two independent 64-bit hashes are: of a gram and of its context, or
+two of a window.
 """
 
 from __future__ import annotations
@@ -104,7 +104,7 @@ class Scan:
         self.one, self.two = one, two
         self.p, self.q = one.prefixes(hashes), two.prefixes(mixed(hashes))
 
-    def gram(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    def sequence(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return self.one.of(self.p, start, end)
 
     def stretch(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -214,7 +214,7 @@ def anchor_rows(docs: DataFrame, length: int, period: int, cover: tuple[int, ...
             chosen = np.flatnonzero(np.isin(np.arange(period), cover)[pos % period] & (pos + gram <= s.n[doc]) & (s.n[doc] >= length))
             doc, pos = doc[chosen], pos[chosen]
             before, after = np.minimum(pos, reach), np.minimum(s.n[doc] - pos, length)
-            h = s.gram(chosen, chosen + gram)
+            h = s.sequence(chosen, chosen + gram)
             c = mixed(s.stretch(chosen - before, chosen + after) ^ mixed((before << 16 | after).astype(np.uint64)))
             order, first = _later(h, c, doc, pos, _ranks(t))
             doc, pos, before, after, h, c = (x[order] for x in (doc, pos, before, after, h, c))
@@ -248,9 +248,9 @@ def asked(rows: DataFrame) -> DataFrame:
 
 
 def window_rows(docs: DataFrame, found: DataFrame, length: int, period: int) -> DataFrame:
-    """The rows of windows around the contexts to extend, by hashes of anchor and window, and ranges known to
-    repeat, as LATER rows."""
-    gram, reach = length - period + 1, period - 1
+    """The rows of windows around the contexts to extend, by two hashes of the window, and ranges known to
+    repeat, as LATER rows. A window around several anchors is one row."""
+    reach = period - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, s in batches_of_words(unpacked(batches), BATCH_WORDS):
@@ -268,8 +268,8 @@ def window_rows(docs: DataFrame, found: DataFrame, length: int, period: int) ->
             fits = (first >= 0) & (first + length <= s.n[doc_open][:, None])
             row, _ = np.nonzero(fits)
             first, doc = first[fits], doc_open[row]
-            anchor, window = s.first[doc_open] + at, s.first[doc] + first
-            h, w = s.gram(anchor, anchor + gram)[row], s.stretch(window, window + length)
+            window = s.first[doc] + first
+            h, w = s.sequence(window, window + length), s.stretch(window, window + length)
             order, earliest = _later(h, w, doc, first, _ranks(t))
             h, w, doc, first = (x[order] for x in (h, w, doc, first))
             late, one = ~earliest, earliest & runs(h, w)
