@@ -4,7 +4,7 @@ import importlib
 
 from caselog.testbed.registry import ORACLES, QUERIES
 
-for _module in ("columns", "operators", "landing", "models", "checks", "relations"):
+for _module in ("columns", "operators", "landing", "models", "checks", "relations", "kept"):
     importlib.import_module(f"caselog.testbed.{_module}")
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -237,6 +237,21 @@ def application_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def catalogue_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The application log, narrow, and a third batch: some numbers are gone, some have come back, and some have
+    another sponsor."""
+    columns = ["application_number", "sponsor_name", "n_products", "_pulled_at", "_source_file", "_batch_id"]
+    log = application_log(spark, sf_dir).withColumn("n_products", F.size("products"))
+    third = log.where("_source_file = 'bulk-a'").withColumn("key", F.expr("cast(right(application_number, 9) as bigint)"))
+    third = third.where("key % 7 <> 0").withColumn(
+        "sponsor_name",
+        F.expr("concat(sponsor_name, case when key % 20 = 1 then ' (corrected)' when key % 4 = 0 then ' (third)' else '' end)"),
+    )
+    stamps = {"_pulled_at": "2026-04-01T06:00:00+00:00", "_source_file": "bulk-c", "_batch_id": "20260401070000"}
+    third = third.withColumns({c: F.lit(v) for c, v in stamps.items()})
+    return log.select(*columns).unionByName(third.select(*columns))
+
+
 def _landed_application() -> list[Column]:
     pulled, loaded, source, batch = _landed(
         "element_at(array('2026-02-01', '2026-03-01', '2026-03-02'), v + 1)", "if(v = 0, 'bulk-a', 'bulk-b')"
