@@ -10,7 +10,7 @@ def latest_per_key(
     df: DataFrame,
     keys: str | list[str],
     order: list[Column],
-    tiebreak: tuple[str, ...] = ("_source_file",),
+    tiebreak: tuple[str, ...] = ("_source_file", "_digest"),
     content_tiebreak: bool = False,
 ) -> DataFrame:
     """One row per key: the first by `order`, then by the tiebreak columns descending.
@@ -18,8 +18,9 @@ def latest_per_key(
     Filtering the row number lets Spark keep only the first row per key in every map task before
     the shuffle, so a key with very many log rows costs one row per task.
 
-    Two rows that agree in all of these are told apart by content_tiebreak, a hash of the whole row.
-    It is off by default, since it makes every column needed and so undoes column pruning.
+    Landing stores a digest of each record, so rows that agree in the order and in the file are told apart
+    by one narrow column. Rows without a digest can be told apart by content_tiebreak, a hash of the whole
+    row. It is off by default, since it makes every column needed and so undoes column pruning.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     sort = list(order) + [F.col(c).desc() for c in tiebreak if c in df.columns]

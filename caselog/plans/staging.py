@@ -99,12 +99,14 @@ def project(paths: dict[str, str], root: str = "") -> list[Column]:
     return [F.col(root + path).alias(name) for name, path in paths.items()]
 
 
-def load_metadata() -> list[Column]:
+def load_metadata(raw: DataFrame) -> list[Column]:
+    """The load metadata, and the record's digest if it was stored."""
     return [
         pulled_at(F.col("_pulled_at")).alias("_pulled_at"),
         F.col("_loaded_at"),
         F.col("_source_file"),
         F.col("_batch_id"),
+        *[F.col(c) for c in ("_digest",) if c in raw.columns],
     ]
 
 
@@ -116,7 +118,7 @@ def project_reports(raw: DataFrame, strict: bool = True) -> DataFrame:
         compact_date(F.col("receiptdate")).alias("receipt_date"),
         compact_date(F.col("receivedate")).alias("receive_date"),
         compact_date(F.col("transmissiondate")).alias("transmission_date"),
-        *load_metadata(),
+        *load_metadata(raw),
     )
 
 
@@ -141,7 +143,7 @@ def project_studies(raw: DataFrame) -> DataFrame:
         ]
     for name, path in REGISTRY_DATES.items():
         dates.append(partial_date(F.col(f"{root}{path}.date")).alias(name))
-    return raw.select(*project(STUDY_PATHS, root), *dates, *load_metadata())
+    return raw.select(*project(STUDY_PATHS, root), *dates, *load_metadata(raw))
 
 
 def stage_studies(raw: DataFrame, content_tiebreak: bool = False) -> DataFrame:
@@ -160,7 +162,7 @@ def stage_applications(raw: DataFrame, content_tiebreak: bool = False) -> DataFr
         "products",
         "submissions",
         "openfda",
-        *load_metadata(),
+        *load_metadata(raw),
     )
     return latest_per_key(
         renamed, "application_number", [F.desc("_pulled_at")], content_tiebreak=content_tiebreak
@@ -169,7 +171,7 @@ def stage_applications(raw: DataFrame, content_tiebreak: bool = False) -> DataFr
 
 def stage_descriptors(raw: DataFrame, content_tiebreak: bool = False) -> DataFrame:
     """One row per descriptor, newest pull. Tree numbers stay an array."""
-    renamed = raw.select("descriptor_ui", "descriptor_name", "tree_numbers", *load_metadata())
+    renamed = raw.select("descriptor_ui", "descriptor_name", "tree_numbers", *load_metadata(raw))
     return latest_per_key(
         renamed, "descriptor_ui", [F.desc("_pulled_at")], content_tiebreak=content_tiebreak
     )

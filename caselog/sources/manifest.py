@@ -64,12 +64,17 @@ def landed_counts(landed: DataFrame, file_col: str = "_source_file") -> DataFram
 
 
 def reconcile_parts(plan: DataFrame, landed: DataFrame, present: DataFrame | None = None) -> DataFrame:
-    """Per file: declared against landed records.
+    """Per file: declared against landed records, which are counted from the landed rows."""
+    return reconcile_counts(plan, landed_counts(landed), present)
+
+
+def reconcile_counts(plan: DataFrame, counts: DataFrame, present: DataFrame | None = None) -> DataFrame:
+    """Per file: declared against landed records, given as (file, written).
 
     present lists files that were there before the load; they are skipped, so nothing was written
     for them. A file landed without being planned is a MISMATCH too.
     """
-    files = plan.select("file", "records").join(landed_counts(landed), "file", "full")
+    files = plan.select("file", "records").join(counts, "file", "full")
     if present is None:
         known = files.withColumn("_present", F.lit(False))
     else:

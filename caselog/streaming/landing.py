@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 from caselog.sources.readers import stamp
 from caselog.sources.schemas import CORRUPT_COLUMN, with_corrupt_column
 
-RECORD = "_record"
+RECORD, DIGEST = "_record", "_digest"
 METADATA = {"_loaded_at": "timestamp", "_source_file": "string", "_batch_id": "string"}
 
 
@@ -39,7 +39,8 @@ def land(
     age; by default Spark skips files much older than the newest it has seen.
 
     JSON records are kept whole: beside the declared fields, `_record` has the line as it came, with
-    whatever fields nobody declared. `regrown` reads them from there.
+    whatever fields nobody declared. `regrown` reads them from there. `_digest` is a hash of the line, which
+    breaks ties between records of one pull time and file.
 
     The load goes in batches of files_per_batch files, so one that is interrupted resumes at the
     last batch that was committed. All its batches carry the same run id and load time.
@@ -55,7 +56,7 @@ def land(
     rows = stamp(reader.load(src_dir), run_id or now.strftime("%Y%m%d%H%M%S"), now.isoformat())
     if fmt == "json":
         lines = rows.where(F.trim("value") != "").withColumn("_parsed", _parsed(F.col("value"), schema))
-        rows = lines.select("_parsed.*", F.col("value").alias(RECORD), *METADATA)
+        rows = lines.select("_parsed.*", F.col("value").alias(RECORD), F.xxhash64("value").alias(DIGEST), *METADATA)
     query = (
         rows.writeStream.format("parquet")
         .option("path", out_dir)
@@ -73,7 +74,7 @@ def landed(spark: SparkSession, out_dir: str, schema: StructType, fmt: str = "js
     columns = with_corrupt_column(schema) if fmt == "json" else StructType(list(schema.fields))
     full = StructType(list(columns.fields))
     if fmt == "json":
-        full = full.add(RECORD, "string")
+        full = full.add(RECORD, "string").add(DIGEST, "long")
     for name, kind in METADATA.items():
         full = full.add(name, kind)
     return spark.read.schema(full).parquet(out_dir)
@@ -83,4 +84,4 @@ def regrown(rows: DataFrame, schema: StructType) -> DataFrame:
     """The landed JSON rows under a schema that has grown, nested fields too: typed anew from the kept
     records, so no file is read again and rows of all loads have the new fields."""
     parsed = rows.withColumn("_parsed", _parsed(F.col(RECORD), schema))
-    return parsed.select("_parsed.*", RECORD, *METADATA)
+    return parsed.select("_parsed.*", RECORD, DIGEST, *METADATA)

@@ -12,6 +12,7 @@ from caselog.sources import manifest, readers, sinks
 from caselog.sources.schemas import DESCRIPTOR_XML, OUTCOME_CODES, OUTCOME_ROWS, shape
 from caselog.sources.selection import change_window, cohort
 from caselog.sources.storage import new_folder, save
+from caselog.streaming.evolving import land_evolving, landed_evolving, recorded_counts
 from caselog.streaming.landing import land, landed, regrown
 from caselog.testbed.adapters import (
     landed_part_rows,
@@ -33,7 +34,7 @@ EVENT_SCHEMA = shape(
         "value": DoubleType(),
     }
 )
-LATE = "2024-01-20"
+LATE, LAST = "2024-01-20", "2024-01-25"
 DOCUMENT_ROWS = 2_000
 
 
@@ -109,6 +110,72 @@ def land_lossless(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+GROWN_SQL = f"""
+select event_id, {iso("ts")} as ts, value, case when ts >= timestamp '{LATE}' then event_id + 1 end as extra_key,
+  case when ts >= timestamp '{LAST}' then event_type end as extra_tag, case when ts >= timestamp '{LAST}' then value / 2 end as ratio,
+  case when ts < timestamp '{LATE}' then 'run-1' when ts < timestamp '{LAST}' then 'run-2' else 'run-3' end as batch_id
+from events"""
+
+
+def land_growing(spark: SparkSession, sf_dir: str, fmt: str) -> DataFrame:
+    """Three loads: as declared, with a nested field nobody declared, and with a second one in it and a
+    column. Gives the rows read once, at the end, and the number of versions the schema had."""
+    source, out, checkpoint = (new_folder(spark, f"growing-{n}") for n in ("in", "out", "ck"))
+    events = events_as_text(spark, sf_dir)
+    key = (F.col("event_id") + 1).alias("key")
+    loads = [
+        events.where(F.col("ts") < LATE),
+        events.where((F.col("ts") >= LATE) & (F.col("ts") < LAST)).withColumn("extra", F.struct(key)),
+        events.where(F.col("ts") >= LAST)
+        .withColumn("extra", F.struct(key, F.col("event_type").alias("tag")))
+        .withColumn("ratio", F.col("value") / 2),
+    ]
+    for i, rows in enumerate(loads, 1):
+        rows.write.mode("append").format(fmt).save(source)
+        land_evolving(spark, source, EVENT_SCHEMA, out, checkpoint, fmt, glob=f"*.{fmt}" if fmt == "json" else "*.parquet", run_id=f"run-{i}")
+    return landed_evolving(spark, out, checkpoint, fmt).select(
+        "event_id", "ts", "value", F.col("extra.key").alias("extra_key"), F.col("extra.tag").alias("extra_tag"), "ratio",
+        F.col("_batch_id").alias("batch_id"),
+    )
+
+
+@query("land_evolving", GROWN_SQL)
+def land_evolving_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return land_growing(spark, sf_dir, "json")
+
+
+@query("land_evolving_parquet", GROWN_SQL)
+def land_evolving_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return land_growing(spark, sf_dir, "parquet")
+
+
+@query(
+    "manifest_recorded",
+    with_(
+        PART_FILES,
+        """
+, landed as (select file, count(*) as written from part_files
+  where not (strftime(day, '%Y-%m') = '1997-05' or (strftime(day, '%Y-%m') = '1996-03' and o_orderstatus = 'O')) group by 1)
+select i.file, i.records, coalesce(written, 0) as written, case when written = i.records then 'ok' else 'MISMATCH' end as status
+from part_index i left join landed l on l.file = i.file""",
+    ),
+)
+def manifest_recorded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index against the counts recorded at landing, in two loads."""
+    source, out, checkpoint = (new_folder(spark, f"parts-{n}") for n in ("in", "out", "ck"))
+    parts = landed_part_rows(spark, sf_dir).withColumn("at", F.split("_source_file", "/"))
+    parts = parts.select("o_orderkey", F.col("at")[3].alias("quarter"), F.col("at")[4].alias("part"))
+    schema = shape({"o_orderkey": LongType()})
+    for first in (True, False):
+        half = parts.where((F.col("quarter") < "1995") == F.lit(first))
+        half.write.mode("append").partitionBy("quarter", "part").json(source)
+        land_evolving(spark, f"{source}/*/*", schema, out, checkpoint, glob="*.json")
+    folder = r"/quarter=([^/]*)/part=([^/]*)/"
+    named = F.concat(F.lit("/drug/event/"), F.regexp_extract("_source_file", folder, 1), F.lit("/"), F.regexp_extract("_source_file", folder, 2))
+    counts = recorded_counts(spark, out).groupBy(named.alias("file")).agg(F.sum("records").alias("written"))
+    return manifest.reconcile_counts(save(partition_index(spark, sf_dir), "index"), counts)
+
+
 @query(
     "land_stamp",
     f"""
