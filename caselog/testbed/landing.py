@@ -9,6 +9,7 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructType
 from caselog.operators.aggregates import precompute
 from caselog.plans.staging import project_studies, stage_studies
 from caselog.sources import manifest, readers, sinks
+from caselog.sources.envelopes import stream_envelope
 from caselog.sources.schemas import DESCRIPTOR_XML, OUTCOME_CODES, OUTCOME_ROWS, shape
 from caselog.sources.selection import change_window, cohort
 from caselog.sources.storage import new_folder, save
@@ -287,15 +288,14 @@ def corrupt_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    "envelope_rows",
-    """select o_orderkey::varchar as id, o_orderpriority as priority, o_orderstatus as first_tag, count(*) as copies,
-'2026-01-05T06:00:00+00:00' as pulled_at from orders group by 1, 2, 3""",
-)
-def envelope_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+ENVELOPE = {"id": StringType(), "priority": StringType(), "tags": [StringType()], "copies": LongType()}
+PULLED = "2026-01-05T06:00:00+00:00"
+
+
+def write_envelopes(spark: SparkSession, sf_dir: str) -> str:
+    """Orders as documents {"meta": ..., "results": [...]}. Copies of a record are counted first, so that a
+    document, made of the records of one hash value, has a bounded expected size."""
     path = new_folder(spark, "envelopes")
-    # Copies of a record are counted first, so that a document, made of the records of one hash
-    # value, has a bounded expected size.
     records = (
         table(spark, sf_dir, "orders")
         .groupBy(
@@ -314,13 +314,36 @@ def envelope_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .write.option("maxRecordsPerFile", 1)
         .text(path)
     )
-    schema = shape({"id": StringType(), "priority": StringType(), "tags": [StringType()], "copies": LongType()})
-    rows = readers.explode_envelope(spark, path, schema, "2026-01-05T06:00:00+00:00", glob="*.txt")
+    return path
+
+
+@query(
+    "envelope_rows",
+    """select o_orderkey::varchar as id, o_orderpriority as priority, o_orderstatus as first_tag, count(*) as copies,
+'2026-01-05T06:00:00+00:00' as pulled_at from orders group by 1, 2, 3""",
+)
+def envelope_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = readers.explode_envelope(spark, write_envelopes(spark, sf_dir), shape(ENVELOPE), PULLED, glob="*.txt")
     return rows.select(
         "id", "priority", F.element_at("tags", 1).alias("first_tag"), "copies", F.col("_pulled_at").alias("pulled_at")
     )
 
 
+@query(
+    "envelope_stream",
+    """select o_orderkey::varchar as id, o_orderpriority as priority, o_orderstatus as first_tag, count(*) as copies,
+'2026-01-05T06:00:00+00:00' as pulled_at, (select count(*) from (select distinct o_orderkey, o_orderpriority, o_orderstatus from orders)) as n_places
+from orders group by 1, 2, 3""",
+)
+def envelope_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same documents read as streams. Every item has a place of its own in its document."""
+    rows = stream_envelope(spark, write_envelopes(spark, sf_dir), shape(ENVELOPE), PULLED, glob="*.txt")
+    places = rows.agg(F.countDistinct("file", "seq").alias("n"))
+    return rows.select(
+        "id", "priority", F.element_at("tags", 1).alias("first_tag"), "copies", F.col("_pulled_at").alias("pulled_at")
+    ).withColumn("n_places", places.scalar())
+
+
 @query(
     "xml_records",
     with_(
