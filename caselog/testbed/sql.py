@@ -70,12 +70,12 @@ REACTIONS = (
     SUSPECTS
     + """,
 exploded as (
-  select *, generate_subscripts(reactions, 1) - 1 as seq from reports
+  select id, day, serious, death, duplicate, generate_subscripts(reactions, 1) - 1 as seq, unnest(reactions) as reaction from reports
 ),
 reactions as (
   select e.id, e.seq::bigint as seq, e.day,
-    coalesce(nullif(upper(trim(e.reactions[e.seq + 1].term)), ''), 'NOT STATED') as term,
-    coalesce(e.reactions[e.seq + 1].outcome, '-1') as outcome,
+    coalesce(nullif(upper(trim(e.reaction.term)), ''), 'NOT STATED') as term,
+    coalesce(e.reaction.outcome, '-1') as outcome,
     coalesce(e.serious = '1', false) as is_serious,
     coalesce(e.death = '1', false) as is_report_death,
     coalesce(e.duplicate = '1', false) as is_probable_duplicate,
