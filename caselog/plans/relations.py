@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from caselog.functions import clean_text, name_source
 from caselog.operators.fanout import fan_out
+from caselog.operators.similar import SHARE, within_edits
 from caselog.plans.intermediate import drug_name_of, suspects_of
+from caselog.sources.storage import save
 
 
 def suspect_bridge(stg: DataFrame) -> DataFrame:
@@ -38,6 +41,66 @@ def drug_crosswalk(drugs: DataFrame, applications: DataFrame) -> DataFrame:
     return names.join(application_names(applications), "drug_name", "left")
 
 
+def _names_in(df: DataFrame, path: str) -> Column | None:
+    """The names at a path of nested fields, of which arrays may be, as one array; None if the schema lacks it."""
+    column, kind, depth = None, df.schema, 0
+    for part in path.split("."):
+        if not isinstance(kind, StructType) or part not in kind.fieldNames():
+            return None
+        column, kind = (F.col(part) if column is None else column[part]), kind[part].dataType
+        # a field of an array's items is an array of them, and of arrays an array of arrays
+        while isinstance(kind, ArrayType):
+            kind, depth = kind.elementType, depth + 1
+            if depth > 1:
+                column, depth = F.flatten(column), 1
+    return column if depth else F.array(column)
+
+
+# Where an application names its drug, and what the name is called here. A declared schema need
+# not have all of them.
+NAME_PATHS = {
+    "products.brand_name": "brand",
+    "openfda.brand_name": "harmonised",
+    "openfda.generic_name": "harmonised",
+    "openfda.substance_name": "ingredient",
+    "products.active_ingredients.name": "ingredient",
+}
+
+
+def registered_names(applications: DataFrame) -> DataFrame:
+    """Distinct (application_number, source, drug_name): brand names, harmonised names and ingredients, normalised
+    as report names are."""
+    def labelled(names: Column, source: str) -> Column:
+        return F.transform(names, lambda n: F.struct(F.lit(source).alias("source"), n.cast("string").alias("name")))
+
+    found = [labelled(c, source) for path, source in NAME_PATHS.items() if (c := _names_in(applications, path)) is not None]
+    empty = F.array().cast("array<struct<source:string,name:string>>")
+    every = F.concat(*[F.coalesce(c, empty) for c in found])
+    named = applications.select("application_number", F.inline(every))
+    named = named.select("application_number", "source", clean_text(F.col("name")).alias("drug_name"))
+    return named.where(F.col("drug_name").isNotNull()).distinct()
+
+
+def nearest_crosswalk(names: DataFrame, registered: DataFrame, share: int = SHARE) -> DataFrame:
+    """(drug_name, application_number, source, registered_name, distance): for every distinct name the registered ones
+    nearest to it, equal ones first, else those within its allowed edits; NULL where there are none.
+
+    Equal names are found by a join alone, so only the others are cut into segments, and only distinct names
+    are compared, however many reports and applications have them.
+    """
+    names = save(names.select("drug_name").where(F.col("drug_name").isNotNull()).distinct(), "names")
+    registered = save(registered, "registered")
+    known = registered.select(F.col("drug_name").alias("name")).distinct()
+    left = names.select(F.col("drug_name").alias("name"))
+    equal = left.join(known, "name").select("name", F.col("name").alias("other"), F.lit(0).alias("distance"))
+    near = save(within_edits(left.join(known, "name", "left_anti"), known, share=share), "near")
+    least = near.groupBy("name").agg(F.min("distance").alias("distance"))
+    links = equal.unionByName(near.join(least, ["name", "distance"]).select("name", "other", "distance"))
+    rows = links.join(registered.withColumnRenamed("drug_name", "other"), "other")
+    rows = rows.select(F.col("name").alias("drug_name"), "application_number", "source", F.col("other").alias("registered_name"), "distance")
+    return names.join(rows, "drug_name", "left")
+
+
 def descriptor_ancestors(descriptors: DataFrame) -> DataFrame:
     """(descriptor_ui, tree_number, ancestor_number, depth, parent_number): every prefix of each tree
     number, itself included, without recursion, and the number above it. Depth counts from the root, 1,

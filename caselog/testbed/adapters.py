@@ -237,6 +237,23 @@ def application_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def reported_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select(F.expr("upper(concat(p_name, ' ', p_partkey % 500))").alias("drug_name"))
+
+
+def registered_with_typos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A name for each part, as reported, with a letter dropped, with two letters wrong, or another one."""
+    name = "upper(concat(p_name, ' ', p_partkey % 500))"
+    return table(spark, sf_dir, "part").select(
+        F.expr("concat('NDA', p_partkey)").alias("application_number"),
+        F.expr("element_at(array('brand', 'harmonised', 'ingredient'), cast(p_partkey % 3 as int) + 1)").alias("source"),
+        F.expr(
+            f"case p_partkey % 4 when 0 then {name} when 1 then concat(left({name}, 2), substr({name}, 4))"
+            f" when 2 then concat(left({name}, 1), '?', substr({name}, 3), 'S') else upper(concat(p_brand, ' ', p_partkey)) end"
+        ).alias("drug_name"),
+    )
+
+
 def catalogue_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The application log, narrow, and a third batch: some numbers are gone, some have come back, and some have
     another sponsor."""

@@ -10,7 +10,14 @@ from caselog.plans.intermediate import suspect_drugs
 from caselog.plans.staging import stage_applications, stage_descriptors, stage_reports
 from caselog.plans.star import dim_date, dim_drug
 from caselog.sources.sinks import preview
-from caselog.testbed.adapters import application_log, case_log, table, vocabulary_log
+from caselog.testbed.adapters import (
+    application_log,
+    case_log,
+    registered_with_typos,
+    reported_names,
+    table,
+    vocabulary_log,
+)
 from caselog.testbed.registry import query
 from caselog.testbed.sql import APPLICATIONS, DIMENSIONS, SUSPECTS, VOCABULARY, with_
 
@@ -46,6 +53,50 @@ def drug_crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return relations.drug_crosswalk(drugs, stage_applications(application_log(spark, sf_dir)))
 
 
+_NEAREST = """pairs as (
+  select n.drug_name, r.registered_name, levenshtein(n.drug_name, r.registered_name) as distance
+  from names n join (select distinct drug_name as registered_name from registered) r
+    on abs(length(n.drug_name) - length(r.registered_name)) <= least(2, length(n.drug_name) // 5)
+  where levenshtein(n.drug_name, r.registered_name) <= least(2, length(n.drug_name) // 5)
+  qualify rank() over (partition by n.drug_name order by distance) = 1),
+links as (select p.drug_name, r.application_number, r.source, p.registered_name, p.distance from pairs p join registered r on r.drug_name = p.registered_name)
+select n.drug_name, application_number, source, registered_name, distance::bigint as distance from names n left join links using (drug_name)"""
+
+
+@query(
+    "crosswalk_nearest",
+    with_(
+        DIMENSIONS + "," + APPLICATIONS,
+        f""", names as (select distinct drug_name from dim_drug),
+registered as (
+  select distinct application_number, 'brand' as source, 'DRUG ' || (s_suppkey + i) % 64 as drug_name
+  from applications, range(4) as r(i) where i < n_products
+  union select application_number, 'harmonised', upper(s_name) from applications join supplier using (s_suppkey) where has_openfda),
+{_NEAREST}""",
+    ),
+)
+def crosswalk_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of the drug dimension against all names of the applications."""
+    drugs = dim_drug(suspect_drugs(stage_reports(case_log(spark, sf_dir))))
+    registered = relations.registered_names(stage_applications(application_log(spark, sf_dir)))
+    return relations.nearest_crosswalk(drugs, registered)
+
+
+@query(
+    "crosswalk_typos",
+    f"""with names as (select distinct upper(p_name || ' ' || p_partkey % 500) as drug_name from part),
+registered as (
+  select 'NDA' || p_partkey as application_number, ['brand', 'harmonised', 'ingredient'][p_partkey % 3 + 1] as source,
+    case p_partkey % 4 when 0 then name when 1 then name[:2] || name[4:] when 2 then name[:1] || '?' || name[3:] || 'S'
+      else upper(p_brand || ' ' || p_partkey) end as drug_name
+  from (select *, upper(p_name || ' ' || p_partkey % 500) as name from part)),
+{_NEAREST}""",
+)
+def crosswalk_typos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many names with segments that are shared by many, and typos in a half of them."""
+    return relations.nearest_crosswalk(reported_names(spark, sf_dir), registered_with_typos(spark, sf_dir))
+
+
 @query(
     "descriptor_hierarchy",
     with_(
