@@ -90,6 +90,46 @@ def column_checks(df: DataFrame, key: str | None, cols: list[str], table: str) -
     return counts.select(F.stack(F.lit(len(cells) // 2), *cells).alias("check_name", "n_violations"))
 
 
+def null_counts(table: str, cols: list[str]) -> dict[str, Column]:
+    """The not_null checks of a table as aggregates, to be observed while it is written."""
+    return {f"not_null {table}.{c}": F.count_if(F.col(f"`{c}`").isNull()) for c in cols}
+
+
+def unaccepted(col: str, values: list[str]) -> Column:
+    """Rows whose value is outside the accepted list; none means that accepted_values finds nothing."""
+    return F.count_if(F.col(col).isNotNull() & ~F.col(col).isin(values))
+
+
+def key_checks(
+    child: DataFrame, parents: dict[str, tuple[str, DataFrame, str]], unique_key: str, complete: dict[str, tuple[str, DataFrame]]
+) -> DataFrame:
+    """`relationship`, `unique` and `completeness` of one table in a single scan of it, as (check_name,
+    n_violations) rows.
+
+    parents: by check name the foreign key, its parent and the parent's key. complete: by check name the key
+    and the parent all of whose keys must occur. All keys of the table are counted side by side, combined
+    in the map tasks, and meet the parents' keys in one join.
+    """
+    used = {**{name: fk for name, (fk, _, _) in parents.items()}, **{name: key for name, (key, _) in complete.items()}, "unique": unique_key}
+    cells: list[Column] = []
+    for name, col in used.items():
+        cells += [F.lit(name), F.col(col).cast("string")]
+    keys = child.select(F.stack(F.lit(len(used)), *cells).alias("check", "key")).where("key is not null")
+    counted = keys.groupBy("check", "key").agg(F.count("*").alias("n"))
+    known = [df.select(F.lit(name).alias("check"), F.col(key).cast("string").alias("key")) for name, (_, df, key) in parents.items()]
+    known += [df.select(F.lit(name).alias("check"), F.col(key).cast("string").alias("key")) for name, (key, df) in complete.items()]
+    met = counted.join(union_all(known).withColumn("_parent", F.lit(True)), ["check", "key"], "full")
+    alone = F.col("_parent").isNull()
+    found = [F.count_if((F.col("check") == name) & alone) for name in parents]
+    found += [F.count_if((F.col("check") == name) & F.col("n").isNull()) for name in complete]
+    found.append(F.count_if((F.col("check") == "unique") & (F.col("n") > 1)))
+    row = met.agg(*[c.alias(f"n{i}") for i, c in enumerate(found)])
+    cells = []
+    for i, name in enumerate([*parents, *complete, "unique"]):
+        cells += [F.lit(name), F.col(f"n{i}")]
+    return row.select(F.stack(F.lit(len(found)), *cells).alias("check_name", "n_violations"))
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     """Union in halves: a chain of unions is analysed anew at each link."""
     if len(frames) == 1:
