@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from caselog.operators import checks, fanout
+from caselog.operators import checks, fanout, joins
 from caselog.operators.freshness import freshness, threshold_frame
 from caselog.operators.joins import missing_from
 from caselog.plans.intermediate import reactions
@@ -163,3 +163,18 @@ def test_newest_batch_prunes_partitions(spark, at_rest):
 def test_key_filter_reaches_the_scan(spark, at_rest):
     staged = stage_reports(spark.read.parquet(f"{at_rest}/cases")).where("safety_report_id = '7'")
     assert "EqualTo(safetyreportid,7)" in plan_of(staged.select("receive_date"))
+
+
+def test_dimensions_are_broadcast_by_rows_and_bytes(spark):
+    """Few rows may be wide: 300 of 400 kB are beyond the bound in bytes."""
+    fact = spark.range(300).select(F.col("id").alias("k"), F.lit(1).alias("x"))
+    wide = spark.range(300).select(F.col("id").alias("k"), F.repeat(F.lit("é"), 200_000).alias("text"), F.array(F.col("id")).alias("ids"))
+    narrow = wide.select("k", F.lit(None).cast("string").alias("text"))
+    (rows, size), (_, little), (_, nested) = joins.sizes([wide, narrow, wide.select("ids")])
+    assert rows == 300 and size > 300 * 400_000 and little == 300 * 24 and nested > 300 * 16
+    assert joins.sizes([wide.limit(0)]) == [(0, 0)]
+    assert not joins.is_small(wide) and joins.is_small(narrow) and not joins.is_small(narrow, max_rows=299)
+    for dim, broadcast in ((wide, False), (narrow, True)):
+        joined = joins.star_join(fact, [joins.Dimension(dim, "k", "k")])
+        assert ("broadcast" in joined._jdf.queryExecution().optimizedPlan().toString()) == broadcast
+        assert joined.count() == 300
