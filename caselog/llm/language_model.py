@@ -41,8 +41,8 @@ MAX_NODES = 2_000_000
 MAX_FREQUENT = 2_000_000
 FREQUENT_SHARE = 1_000_000
 HELD_WORDS = 300_000
-HELD_BYTES = 4_000_000
-PIECE = 1_000_000
+HELD_BYTES = 8_000_000
+PIECE = 200_000
 SPACE, END = 32, 10
 SMOOTHING = 0.1
 DISCOUNT = 0.3
@@ -285,15 +285,20 @@ def slots_of(key: np.ndarray, code: np.ndarray) -> Slots:
 
 
 def looked_up(slots: Slots, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The codes, zero for other keys; and the places of those."""
-    out, left = np.zeros(len(key)), np.arange(len(key))
+    """The codes, zero for other keys; and the places of those. A key whose place is free in one table is in
+    none of the later ones."""
+    out, known = np.zeros(len(key)), np.zeros(len(key), dtype=bool)
+    left, own = np.arange(len(key)), key
     for factor, bits, held, codes in slots:
-        own = key[left]
         place = (own.view(np.uint64) * np.uint64(factor) >> np.uint64(64 - bits)).view(np.int64)
-        hit = held[place] == own
-        out[left[hit]] = codes[place[hit]]
-        left = left[~hit]
-    return out, left
+        there = held[place]
+        hit = there == own
+        at = np.flatnonzero(hit)
+        out[left[at]] = codes[place[at]]
+        known[left[at]] = True
+        taken = np.flatnonzero(~hit & (there >= 0))
+        left, own = left[taken], own[taken]
+    return out, np.flatnonzero(~known)
 
 
 def hashed(word: bytes) -> int:
