@@ -59,10 +59,34 @@ def test_pii_matches_start_as_plainly_searched(spark, small):
     }
 
 
-def test_pii_adds_what_looks_like_the_base(spark, small):
-    rows = [(i, f"please call phone {200 + i} 555 {1000 + i} now and +1 {200 + i} 555 {1000 + i} now") for i in range(300)]
-    found = pii.find(spark.createDataFrame(rows, "doc_id int, text string")).select(F.size("base"), F.size("spans")).collect()
-    assert all(b == 1 <= s for b, s in found)
+def test_pii_finds_planted_forms_and_leaves_decoys(spark, small):
+    base = "please call +1 {0} 555 {1} or write to ann{0}@host.org, server 10.0.0.7 is up. Paid by card 4111 1111 1111 1111 on 2024-01-12. Order 2024{1} at 12:34:56"
+    planted = ["please call {0} 555-{1} today", "mail name{0} (at) host{0} (dot) org. Next we go", "the server fe80:0:0:0:12:34ff:fe56:{1} answers"]
+    decoys = ["on 2024-01-02 we met @ noon. Then left", "order number 12345678 was sent", "pi is 3.14159265", "at 12:34:56:78 the run ended",
+              "isbn 978-3-16-148410-0", "look at example.com now", "card 4111.1111.1111.1112 fails", "years 1999-2003 and 1 000 000 people"]
+    rows = [(i, base.format(200 + i, 1000 + i)) for i in range(100)]
+    rows += [(1000 + i, planted[i % 3].format(200 + i, 1000 + i)) for i in range(300)]
+    rows += [(2000 + i, d) for i, d in enumerate(decoys)]
+    df = pii.find(spark.createDataFrame(rows, "doc_id int, text string"))
+    got = {r[0]: (r[1], r[2]) for r in df.select("doc_id", joined(F.col("base")), joined(F.col("spans"))).collect()}
+    place = [("phone", 12), ("email", 5), ("ip", 11)]
+    ends = [24, 35, 39]
+    assert all(got[1000 + i] == ("", f"{k}:{s}:{e}") for i in range(300) for (k, s), e in [(place[i % 3], ends[i % 3])])
+    assert all(got[2000 + i] == ("", "") for i in range(len(decoys)))
+    assert all(got[i][0] == got[i][1] and got[i][0].count(":") == 8 for i in range(100))
+
+
+def test_pii_without_base_spans_adds_nothing(spark, small):
+    df = pii.find(spark.createDataFrame([(1, "call 200 555-1000"), (2, None), (3, "")], "doc_id int, text string"))
+    assert [r[0] for r in df.select(F.size("spans")).collect()] == [0, 0, 0]
+
+
+def test_pii_is_within_the_kind(spark, small):
+    """A candidate is dropped unjudged only where it touches a base span of its own kind."""
+    df = pii.candidates(spark.createDataFrame([(1, "call 10.20.30.40 or a@b.org")], "doc_id int, text string"), "doc_id")
+    row = df.first()
+    assert [x["kind"] for x in row["base"]] == ["email", "ip"]
+    assert [(x["kind"], x["ok"]) for x in row["others"]] == [("phone", False)]
 
 
 def test_chat_reads_back_hostile_texts(spark, small):
