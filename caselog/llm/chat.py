@@ -127,48 +127,46 @@ def canonical_turns(df: DataFrame) -> DataFrame:
 def canonical_records(df: DataFrame, column: str) -> DataFrame:
     """Add `layout` and `turns` to rows whose JSON text may be in another layout each.
 
-    The field paths of a record are hashed and looked up. Unknown layouts and broken JSON have null in
-    both; nothing is dropped.
+    For each layout, the declared field paths that a record has are hashed; the layout whose fingerprint that is
+    is selected, the one of most fields if several are. Ids, sources and other further fields, nested ones
+    too, are no matter, nor is the order of fields. A list has the paths of all its elements, which are null in elements that
+    lack them; one without elements has all paths, and makes no turns. Records without a layout, broken
+    JSON (a repeated field is that too), what is no JSON object, and null have null in both; nothing is dropped.
     """
-    parsed = F.try_parse_json(F.col(column))
-    shape = F.regexp_replace(F.schema_of_variant(parsed), r":? ?(STRING|VOID|BIGINT|DOUBLE|BOOLEAN|DECIMAL\([^)]*\))", "")
-    layout = turns = F.lit(None)
-    mark = F.sha2(shape, 256)
-    for x in LAYOUTS:
-        if x.by is not None:
-            continue
-        kind = _record_type(x.paths)
-        wanted = hashlib.sha256(_shape(kind).encode()).hexdigest()
-        record = F.from_json(F.col(column), kind)
-        made = x.turns(lambda name, record=record: record[name])
-        layout = F.when(mark == wanted, F.lit(x.name)).otherwise(layout)
-        turns = F.when(mark == wanted, made.cast(TURNS)).otherwise(turns.cast(TURNS))
-    return df.withColumns({"layout": layout, "turns": named_roles(turns)})
-
-
-def _record_type(paths: tuple[str, ...]) -> T.StructType:
-    lists: dict[str, list[str]] = {}
-    plain = []
-    for p in paths:
-        if "[]." in p:
-            top, field = p.split("[].")
-            lists.setdefault(top, []).append(field)
-        else:
-            plain.append(p)
-    kind = T.StructType([T.StructField(p, T.StringType()) for p in plain])
-    for top, fields in lists.items():
-        kind = kind.add(top, T.ArrayType(T.StructType([T.StructField(f, T.StringType()) for f in fields])))
-    return kind
-
-
-def _shape(kind: T.DataType) -> str:
-    """Shape of a record without its leaf types, as Spark writes the schema of a variant."""
-    if isinstance(kind, T.ArrayType):
-        return f"ARRAY<{_shape(kind.elementType)}>"
-    if isinstance(kind, T.StructType):
-        inner = [f.name + (f": {_shape(f.dataType)}" if _shape(f.dataType) else "") for f in sorted(kind.fields, key=lambda f: f.name)]
-        return f"OBJECT<{', '.join(inner)}>"
-    return ""
+    rows = staged(
+        df,
+        {"_sound": F.try_parse_json(F.col(column)).isNotNull()},
+        {
+            "_record": F.when(F.col("_sound"), F.from_json(F.col(column), _record_type())),
+            "_top": F.when(F.col("_sound"), F.map_keys(F.from_json(F.col(column), "map<string,string>"))),
+        },
+    )
+    whole = sorted((x for x in LAYOUTS if x.by is None), key=lambda x: -len(x.paths))
+    fits = [F.sha2(F.array_join(F.array_compact(_declared(x)), "\n"), 256) == x.fingerprint for x in whole]
+    rows = rows.withColumn("layout", F.coalesce(*[F.when(fit, F.lit(x.name)) for fit, x in zip(fits, whole, strict=True)]))
+    made = [F.when(F.col("layout") == x.name, x.turns(lambda name: F.col("_record")[name]).cast(TURNS)) for x in whole]
+    return rows.withColumn("turns", named_roles(F.coalesce(*made))).drop("_sound", "_record", "_top")
+
+
+def _declared(layout: Layout) -> Column:
+    """The layout's paths, sorted; null in place of those a record lacks. A plain field is there if it is named, its value null or not."""
+
+    def path(p: str) -> Column:
+        top, _, inner = p.partition("[].")
+        items = F.col("_record")[top]
+        there = F.array_contains("_top", top)
+        if inner:
+            there = there & items.isNotNull() & ((F.size(items) == 0) | F.exists(items, lambda m: F.map_contains_key(m, inner)))
+        return F.when(there, F.lit(p))
+
+    return F.array(*[path(p) for p in sorted(layout.paths)])
+
+
+def _record_type() -> T.StructType:
+    """All fields that layouts of whole records declare; elements of lists keep their names."""
+    tops = {p.partition("[].")[0]: "[]." in p for x in LAYOUTS if x.by is None for p in x.paths}
+    elements = T.ArrayType(T.MapType(T.StringType(), T.StringType()))
+    return T.StructType([T.StructField(name, elements if several else T.StringType()) for name, several in tops.items()])
 
 
 def escaped(text: Column) -> Column:

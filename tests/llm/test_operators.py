@@ -121,6 +121,42 @@ def test_chat_layouts_by_fingerprint(spark, small):
         ("question", [("user", "p"), ("assistant", "c")]),
         (None, None), (None, None), (None, None),
     ]
+
+
+def test_chat_layouts_among_other_fields(spark, small):
+    records = [
+        '{"id":7,"messages":[{"role":"user","content":"a"}]}',
+        '{"messages":[]}',
+        '{"messages":[{"role":"user","content":"a","weight":{"w":[1]}},{"content":"b"},{"role":"gpt"}]}',
+        '{"source":{"name":"s","tags":["t"]},"instruction":"i","output":"o"}',
+        '{"prompt":"p","completion":"c"}',
+        '{"prompt":null,"response":2,"question":"q"}',
+        '{"output":"o","input":"","instruction":"i","prompt":"p","response":"r"}',
+        '{"messages":[{"role":null,"content":null}]}',
+        '{"messages":[{"role":"user"}]}', '{"messages":"text"}', '{"messages":null}', '{"prompt":"p","prompt":"p","completion":"c"}',
+        '{"prompt":"p","completion":"c"', "[]", "[1]", "3", "", "{}", '{"messages":[null]}',
+    ]
+    df = spark.createDataFrame([(i, r, "kept") for i, r in enumerate(records)], "i int, j string, source string")
+    rows = chat.canonical_records(df, "j").orderBy("i").collect()
+    assert all(r["source"] == "kept" for r in rows)
+    got = [(r["layout"], r["turns"] and [tuple(t) for t in r["turns"]]) for r in rows]
+    assert got == [
+        ("messages", [("user", "a")]),
+        ("messages", []),
+        ("messages", [("user", "a"), ("", "b"), ("assistant", "")]),
+        ("instruction", [("user", "i"), ("assistant", "o")]),
+        ("prompt", [("user", "p"), ("assistant", "c")]),
+        ("response", [("user", ""), ("assistant", "2")]),
+        ("instruction with input", [("user", "i"), ("assistant", "o")]),
+        ("messages", [("", "")]),
+    ] + [(None, None)] * 11
+    assert chat.canonical_records(df.limit(0), "j").collect() == []
+    long = '{"prompt":"' + "x y " * 200_000 + '","completion":"c"}'
+    made = chat.canonical_records(spark.createDataFrame([(long,)], "j string"), "j").first()["turns"]
+    assert [len(t["text"]) for t in made] == [800_000, 1]
+
+
+def test_chat_layout_of_a_frame(spark, small):
     frame = spark.createDataFrame([(1, "p", "c", 9)], "conv_id int, prompt string, completion string, extra int")
     assert chat.layout_of(frame.schema).name == "prompt"
     assert [tuple(t) for t in chat.canonical_turns(frame).first()["turns"]] == [("user", "p"), ("assistant", "c")]
