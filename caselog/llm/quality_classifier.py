@@ -4,8 +4,9 @@ Trusted positives (documents labelled good) and unlabelled web text train a logi
 non-negative unbiased risk  prior * R_p(+) + max(0, R_u(-) - prior * R_p(-)).  The class prior is
 estimated from how far the scores of unlabelled text reach into those of the positives. Negative
 labels are not used. Features are Spark expressions over the text alone, and so is the score: one
-projection, no shuffle, no user function. Training gathers at most `positives` + `unlabelled` rows of
-a few numbers each, chosen by a hash of the id.
+projection, no user function. Texts are read once, into a table of features. Means, scales and the scores that
+the class prior is estimated from cover all training rows; the risk is minimised over at most
+`positives` + `unlabelled` rows of a few numbers each, chosen by a hash of id and features.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from caselog.llm.common import or_empty, remainder, sealed, staged, table, words
 from caselog.llm.quality_rules import STOP_WORDS
+from caselog.sources.storage import save
 
 MAX_POSITIVES = 8_000
 MAX_UNLABELLED = 16_000
@@ -101,18 +103,17 @@ def descend(x: np.ndarray, gradient, steps: int, rate: float = 0.05, decay: floa
     return w
 
 
-def estimate_prior(g: np.ndarray, is_pos: np.ndarray) -> float:
+def prior_cuts(pos: np.ndarray) -> np.ndarray:
+    """Thresholds to estimate the prior at, ascending. Tails of under a tenth of the positives are too thin to judge by."""
+    return np.quantile(pos, np.linspace(0.0, 0.9, 91))
+
+
+def estimate_prior(pos: np.ndarray, cuts: np.ndarray, reached: np.ndarray, n_unl: int) -> float:
     """Largest share of positives that unlabelled text can hold: the least ratio, over thresholds, of
-    unlabelled to positive scores above the threshold. Tails of under a tenth of the positives are
-    too thin to judge by."""
-    pos, unl = np.sort(g[is_pos]), np.sort(g[~is_pos])
-    if not len(pos) or not len(unl):
-        return 0.5
-    cuts = np.quantile(pos, np.linspace(0.0, 0.9, 91))
-    above_pos = 1 - np.searchsorted(pos, cuts) / len(pos)
-    above_unl = 1 - np.searchsorted(unl, cuts) / len(unl)
-    margin = np.sqrt(np.log(20) / (2 * len(unl))) + np.sqrt(np.log(20) / (2 * len(pos)))
-    return float(np.clip(np.min((above_unl + margin / 2) / above_pos), 0.05, 0.95))
+    unlabelled to positive scores from the threshold on. `reached` counts the unlabelled ones at each cut."""
+    above_pos = np.array([(pos >= c).mean() for c in cuts])
+    margin = np.sqrt(np.log(20) / (2 * n_unl)) + np.sqrt(np.log(20) / (2 * len(pos)))
+    return float(np.clip(np.min((reached / n_unl + margin / 2) / above_pos), 0.05, 0.95))
 
 
 @dataclass(frozen=True)
@@ -122,51 +123,75 @@ class Model:
     scale: list[float] = field(default_factory=lambda: [1.0] * len(FEATURES))
     weights: list[float] = field(default_factory=lambda: [0.0] * (2 * len(FEATURES) + 1))
 
-    def score(self, features: Column) -> Column:
-        """Probability of a good text, as a Spark expression over the feature array."""
+    def margin(self, features: Column) -> Column:
+        """The score's log odds, as a Spark expression over the feature array."""
         z = F.lit(self.weights[-1])
         for i in range(len(FEATURES)):
             x = F.greatest(F.lit(-8.0), F.least(F.lit(8.0), (F.get(features, i) - self.mean[i]) / self.scale[i]))
             z = z + x * (self.weights[i] + x * self.weights[len(FEATURES) + i])
+        return z
+
+    def score(self, features: Column) -> Column:
+        """Probability of a good text."""
+        z = self.margin(features)
         return 1 / (1 + F.exp(F.greatest(F.lit(-60.0), F.least(F.lit(60.0), -z))))
 
 
-def fit_rows(x: np.ndarray, is_pos: np.ndarray) -> Model:
-    """Fit on feature rows. Without positives or unlabelled rows the model says 0.5 for every text."""
-    if not is_pos.any() or is_pos.all():
-        return Model()
-    mean, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-3)
-    z = expanded(np.clip((x - mean) / scale, -8, 8))
-    n_pos, n_unl = is_pos.sum(), (~is_pos).sum()
-    side = np.where(is_pos, 0.5 / n_pos, 0.5 / n_unl)
-    plain = descend(z, lambda g: side * (1 / (1 + np.exp(-np.clip(g, -60, 60))) - is_pos), 300)
-    prior = estimate_prior(np.hstack([z, np.ones((len(z), 1))]) @ plain, is_pos)
-    weights = descend(z, lambda g: pu_risk_gradient(g, is_pos, prior)[1], 800)
-    return Model(prior, mean.tolist(), scale.tolist(), weights.tolist())
+def features(docs: DataFrame) -> DataFrame:
+    """(doc_id, features) of each row, as a table without texts."""
+    return save(with_features(docs.select("doc_id", "text")).select("doc_id", "_f"), "quality-features")
+
 
+def statistics(rows: DataFrame) -> tuple[int, list[float], list[float]]:
+    """Number of rows, and the mean and scale of each feature over all of them. Rounded, so that the order in which
+    Spark adds doesn't show."""
+    each = [F.get("_f", F.lit(i)) for i in range(len(FEATURES))]
+    mean = F.array(*[F.round(F.avg(x), 9) for x in each]).alias("mean")
+    scale = F.array(*[F.greatest(F.round(F.stddev_pop(x), 9), F.lit(1e-3)) for x in each]).alias("scale")
+    got = rows.agg(F.count("*").alias("n"), mean, scale).first()
+    return got["n"], got["mean"], got["scale"]
 
-def fit(
-    docs: DataFrame, labels: DataFrame, positives: int = MAX_POSITIVES, unlabelled: int = MAX_UNLABELLED
-) -> Model:
-    """Learn from (doc_id, text) and (doc_id, quality), leaving out the held-out fold.
 
-    Rows are sampled by a hash of the id up to the two bounds, so a sample doesn't depend on the
-    layout of the files; the ids of a sample are therefore a broadcast of known size.
+def reached(rows: DataFrame, model: Model, cuts: np.ndarray) -> np.ndarray:
+    """How many of all rows score at least each cut; the driver sees one count per interval of them."""
+    passed = F.size(F.filter(F.array(*[F.lit(float(c)) for c in cuts]), lambda c: c <= F.col("_z")))
+    scores = sealed(rows.select(model.margin(F.col("_f")).alias("_z")))
+    counts = {r["passed"]: r["count"] for r in scores.groupBy(passed.alias("passed")).count().collect()}
+    return np.array([sum(n for k, n in counts.items() if k > i) for i in range(len(cuts))])
+
+
+def sample(rows: DataFrame, size: int) -> np.ndarray:
+    """Features of at most `size` rows, chosen by a hash, so that a sample doesn't depend on the layout of the files.
+    Equal features of one id count once, so an id of many copies doesn't fill the sample."""
+    one = rows.select("doc_id", "_f").distinct().orderBy(F.xxhash64("doc_id", "_f"), "doc_id", "_f").limit(size)
+    got = one.select("_f").toArrow()["_f"].to_pylist()
+    return np.array(got, dtype=float).reshape(-1, len(FEATURES))
+
+
+def fit(rows: DataFrame, labels: DataFrame, positives: int = MAX_POSITIVES, unlabelled: int = MAX_UNLABELLED) -> Model:
+    """Learn from a table of (doc_id, `_f`) and (doc_id, quality), leaving out the held-out fold.
+
+    The risk is minimised over at most `positives` labelled and `unlabelled` other rows. What is a statistic
+    of the corpus covers all training rows: means and scales, and the scores from which the class prior is
+    estimated. Without positives or other rows the model says 0.5 for every text.
     """
     training = remainder(F.col("doc_id"), FOLDS) != 0
-    order = F.xxhash64("doc_id")
     trusted = labels.where((F.col("quality") == 1) & training).select("doc_id").distinct()
-    sampled = [
-        trusted.orderBy(order, "doc_id").limit(positives).withColumn("_pos", F.lit(True)),
-        docs.where(training).select("doc_id").orderBy(order, "doc_id").limit(unlabelled).distinct().withColumn("_pos", F.lit(False)),
-    ]
-    ids = sampled[0].unionByName(sampled[1])
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
-    got = with_features(rows).select("_pos", "_f").toArrow()
-    if not got.num_rows:
+    trusted = trusted.orderBy(F.xxhash64("doc_id"), "doc_id").limit(positives)
+    rows = rows.where(training)
+    n, mean, scale = statistics(rows)
+    pos, unl = sample(rows.join(F.broadcast(trusted), "doc_id"), positives), sample(rows, unlabelled)
+    if not len(pos) or not len(unl):
         return Model()
-    x = np.array(got["_f"].to_pylist(), dtype=float)
-    return fit_rows(x, np.array(got["_pos"].to_pylist(), dtype=bool))
+    is_pos = np.arange(len(pos) + len(unl)) < len(pos)
+    z = expanded(np.clip((np.vstack([pos, unl]) - np.array(mean)) / np.array(scale), -8, 8))
+    side = np.where(is_pos, 0.5 / len(pos), 0.5 / len(unl))
+    plain = descend(z, lambda g: side * (1 / (1 + np.exp(-np.clip(g, -60, 60))) - is_pos), 300)
+    scores = (np.hstack([z, np.ones((len(z), 1))]) @ plain)[is_pos]
+    cuts = prior_cuts(scores)
+    prior = estimate_prior(scores, cuts, reached(rows, Model(0.5, mean, scale, plain.tolist()), cuts), n)
+    weights = descend(z, lambda g: pu_risk_gradient(g, is_pos, prior)[1], 800)
+    return Model(prior, mean, scale, weights.tolist())
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
@@ -180,19 +205,15 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Score and prediction of each row of (doc_id, text). Null texts count as empty; repeated rows
     are scored each; labels of unknown ids and other columns play no part."""
-    rows = scored(docs.select("doc_id", "text"), fit(docs, labels))
-    doc_id = F.col("_row.doc_id")
-    return rows.select(
-        doc_id.alias("doc_id"),
-        (remainder(doc_id, FOLDS) == 0).alias("held_out"),
-        F.col("_score").alias("score"),
-        F.col("_predicted").alias("predicted"),
-    )
+    rows = features(docs)
+    found = sealed(rows.select("doc_id", fit(rows, labels).score(F.col("_f")).alias("score")))
+    held_out = (remainder(F.col("doc_id"), FOLDS) == 0).alias("held_out")
+    return found.select("doc_id", held_out, "score", F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows predicted good, with all their columns."""
-    return scored(docs, fit(docs, labels)).where("_predicted = 1").select("_row.*")
+    return scored(docs, fit(features(docs), labels)).where("_predicted = 1").select("_row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -407,6 +407,49 @@ def test_classifier_on_held_out_rows(spark, small):
     assert right >= 0.95 * n > 20
 
 
+def test_classifier_statistics_cover_all_rows(spark, small, monkeypatch):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    rows = quality_classifier.features(docs)
+    x = np.array([r["_f"] for r in rows.collect()])
+    n, mean, scale = quality_classifier.statistics(rows)
+    assert n == len(x) and np.allclose(mean, x.mean(axis=0)) and np.allclose(scale, np.maximum(x.std(axis=0), 1e-3))
+    model = quality_classifier.Model(0.5, mean, scale, [0.1 * i - 1 for i in range(2 * len(mean) + 1)])
+    z = quality_classifier.expanded(np.clip((x - np.array(mean)) / np.array(scale), -8, 8))
+    scores = np.hstack([z, np.ones((len(z), 1))]) @ np.array(model.weights)
+    cuts = np.quantile(scores, [0, 0.2, 0.5, 0.9]) + 1e-6
+    assert quality_classifier.reached(rows, model, cuts).tolist() == [(scores >= c).sum() for c in cuts]
+
+
+def test_classifier_samples_each_text_of_an_id_once(spark, small):
+    rows = spark.createDataFrame([(1, [1.0] * 13)] * 300 + [(i, [float(i)] * 13) for i in range(2, 30)], "doc_id int, _f array<double>")
+    assert sorted(quality_classifier.sample(rows, 100)[:, 0]) == list(range(1, 30))
+    assert len(quality_classifier.sample(rows, 10)) == 10
+    assert quality_classifier.sample(rows, 10).tolist() == quality_classifier.sample(rows.repartition(5), 10).tolist()
+
+
+def test_classifier_risk_gradient_and_prior():
+    rng = np.random.default_rng(3)
+    is_pos = np.arange(40) < 15
+    for prior, shift in ((0.3, 0.0), (0.9, 3.0)):
+        g = rng.normal(size=40) + shift * is_pos
+        loss = lambda z: np.log1p(np.exp(-z))
+        risk_pos = prior * np.mean([loss(v) for v in g[is_pos]])
+        negative = lambda s: np.mean([loss(-v) for v in s[~is_pos]]) - prior * np.mean([loss(-v) for v in s[is_pos]])  # noqa: B023, E731
+        got, grad = quality_classifier.pu_risk_gradient(g, is_pos, prior)
+        assert np.isclose(got, risk_pos + max(0, negative(g)))
+        whole = lambda s: negative(s) + prior * np.mean([loss(v) for v in s[is_pos]])  # noqa: B023, E731
+        stepped = whole if negative(g) >= 0 else lambda s: -negative(s)  # noqa: B023
+        numeric = [(stepped(g + h) - stepped(g - h)) / 2e-5 for h in np.eye(40) * 1e-5]
+        assert np.allclose(grad, numeric, atol=1e-6)
+    assert negative(g) < 0
+    pos = rng.normal(2, 1, 4000)
+    for share in (0.2, 0.6):
+        unl = np.concatenate([rng.normal(2, 1, int(40_000 * share)), rng.normal(-2, 1, int(40_000 * (1 - share)))])
+        cuts = quality_classifier.prior_cuts(pos)
+        found = quality_classifier.estimate_prior(pos, cuts, np.array([(unl >= c).sum() for c in cuts]), len(unl))
+        assert abs(found - share) < 0.06
+
+
 def test_classifier_on_odd_rows(odd, empty, spark):
     labels = spark.createDataFrame([(6, 1, 1), (9, 0, 1), (None, 1, 1), (99, 1, 1)], "doc_id bigint, quality int, score int")
     for train in (labels, labels.limit(0)):
