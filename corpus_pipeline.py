@@ -42,9 +42,9 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' token sequences: where each piece lies."""
+    """The documents' token sequences: each piece with its ids and where it lies."""
     prepare(spark)
-    return packing.pack(docs)
+    return packing.pack(docs, keep_ids=True)
 
 
 STAGES: list[tuple[str, Stage]] = [
