@@ -1,19 +1,21 @@
 """Quality classifier by positive-unlabelled learning.
 
 Trusted positives (documents labelled good) and unlabelled web text train a logistic model by the
-non-negative unbiased risk  prior * R_p(+) + max(0, R_u(-) - prior * R_p(-)).  The class prior is
+non-negative unbiased risk  prior * R_p(+) + max(0, R_u(-) - prior * R_p(-)). The class prior is
 estimated from how far the scores of unlabelled text reach into those of the positives. Negative
 labels are not used. Features are Spark expressions over the text alone, and so is the score: one
-projection, no user function. Texts are read once, into a table of features. Means, scales and the scores that
-the class prior is estimated from cover all training rows; the risk is minimised over at most
-`positives` + `unlabelled` rows of a few numbers each, chosen by a hash of id and features.
+projection, no user function. Texts are read once, into a table of features. The unlabelled side is every
+training row: each step of a minimum is a job that sums risk, gradient and curvature over that table. At most
+`positives` labelled rows, chosen by a hash of id and features, are held by the driver.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +24,8 @@ from caselog.llm.quality_rules import STOP_WORDS
 from caselog.sources.storage import save
 
 MAX_POSITIVES = 8_000
-MAX_UNLABELLED = 16_000
+#: Most steps to a minimum, each a reading of the table of features, and the least gain worth one.
+MAX_STEPS, MIN_GAIN = 40, 1e-5
 FOLDS = 5
 THRESHOLD = 0.3
 
@@ -74,32 +77,107 @@ def expanded(x: np.ndarray) -> np.ndarray:
     return np.hstack([x, x * x])
 
 
-def pu_risk_gradient(g: np.ndarray, is_pos: np.ndarray, prior: float) -> tuple[float, np.ndarray]:
-    """Non-negative unbiased risk of scores `g` under the logistic loss, and its gradient by score.
+def with_bias(x: np.ndarray, mean: list[float], scale: list[float]) -> np.ndarray:
+    """The model's inputs of rows of features: standardised values, their squares, and one for the bias."""
+    z = np.clip((x - np.array(mean)) / np.array(scale), -8, 8)
+    return np.hstack([expanded(z), np.ones((len(z), 1))])
 
-    Where the estimated risk on negatives falls below zero, its gradient is reversed, which undoes
-    the overfitting that made it negative.
+
+@dataclass(frozen=True)
+class Risk:
+    """A value, its gradient and its matrix of second derivatives by the weights. Risks add and scale as numbers do."""
+
+    value: float
+    gradient: np.ndarray
+    curvature: np.ndarray
+
+    def __add__(self, other: Risk) -> Risk:
+        return Risk(self.value + other.value, self.gradient + other.gradient, self.curvature + other.curvature)
+
+    def after(self, step: np.ndarray) -> float:
+        """The value after a step, by the parabola."""
+        return float(self.value + self.gradient @ step + step @ self.curvature @ step / 2)
+
+    def __rmul__(self, k: float) -> Risk:
+        return Risk(k * self.value, k * self.gradient, k * self.curvature)
+
+
+def summed_risk(z: np.ndarray, weights: np.ndarray, label: int) -> Risk:
+    """Logistic loss of the rows, summed, if all of them had the label, 1 or -1."""
+    g = z @ weights
+    share = 1 / (1 + np.exp(np.clip(label * g, -60, 60)))
+    return Risk(float(np.logaddexp(0, -label * g).sum()), -label * (share @ z), (z * (share * (1 - share))[:, None]).T @ z)
+
+
+def corpus_risk(rows: DataFrame, mean: list[float], scale: list[float], weights: np.ndarray) -> Risk:
+    """`summed_risk` of all rows as negatives. Each task sends its sums only, which are added in a shuffle by their place."""
+    size = len(weights)
+
+    def summed(batches):
+        total = Risk(0.0, np.zeros(size), np.zeros((size, size)))
+        for batch in batches:
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
+            total += summed_risk(with_bias(x, mean, scale), weights, -1)
+        values = np.concatenate([[total.value], total.gradient, total.curvature[np.triu_indices(size)]])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values), dtype=np.int32)), pa.array(values)], ["place", "part"])
+
+    parts = rows.select("_f").mapInArrow(summed, "place int, part double")
+    values = np.zeros(1 + size + size * (size + 1) // 2)
+    for r in parts.groupBy("place").agg(F.sum("part").alias("sum")).collect():
+        values[r["place"]] = r["sum"]
+    curvature = np.zeros((size, size))
+    curvature[np.triu_indices(size)] = values[1 + size :]
+    return Risk(values[0], values[1 : 1 + size], curvature + np.triu(curvature, 1).T)
+
+
+def pu_risks(unlabelled: Risk, pos: np.ndarray, weights: np.ndarray, prior: float) -> tuple[Risk, Risk]:
+    """The two parts of the unbiased risk: prior * R_p(+), and R_u(-) - prior * R_p(-), that on negatives."""
+    share = prior / len(pos)
+    return share * summed_risk(pos, weights, 1), unlabelled + -share * summed_risk(pos, weights, -1)
+
+
+def best_step(plain: Risk, clipped: Risk) -> np.ndarray:
+    """The step to the least  plain + max(0, clipped), both as parabolas about the present weights.
+
+    That is the greatest, over a factor c of 0 to 1, of  plain + c * clipped, which is convex for each of them. Where the
+    whole second part would fall below zero, the factor that brings it to zero is found by halving.
     """
-    n_pos, n_unl = max(int(is_pos.sum()), 1), max(int((~is_pos).sum()), 1)
-    as_neg = np.logaddexp(0, g)
-    d_neg = 1 / (1 + np.exp(-np.clip(g, -60, 60)))
-    risk_pos = prior * np.logaddexp(0, -g)[is_pos].sum() / n_pos
-    risk_neg = as_neg[~is_pos].sum() / n_unl - prior * as_neg[is_pos].sum() / n_pos
-    grad_pos = np.where(is_pos, prior * (d_neg - 1) / n_pos, 0)
-    grad_neg = np.where(is_pos, -prior * d_neg / n_pos, d_neg / n_unl)
-    if risk_neg < 0:
-        return risk_pos, -grad_neg
-    return risk_pos + risk_neg, grad_pos + grad_neg
-
-
-def descend(x: np.ndarray, gradient, steps: int, rate: float = 0.05, decay: float = 1e-4) -> np.ndarray:
-    """Adam from zero; the last weight is the bias."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    w, m, v = (np.zeros(x.shape[1]) for _ in range(3))
-    for t in range(1, steps + 1):
-        grad = x.T @ gradient(x @ w) + decay * w
-        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
-        w = w - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+
+    def to(c: float) -> np.ndarray:
+        both = plain + c * clipped
+        return -np.linalg.solve(both.curvature, both.gradient)
+
+    low, high = 0.0, 1.0
+    if clipped.after(to(1.0)) >= 0:
+        return to(1.0)
+    for _ in range(40):
+        c = (low + high) / 2
+        low, high = (c, high) if clipped.after(to(c)) >= 0 else (low, c)
+    return to(low)
+
+
+def minimise(parts: Callable[[np.ndarray], tuple[Risk, Risk]], size: int, floor: float, decay: float = 1e-4) -> np.ndarray:
+    """Weights of the least  plain + max(0, clipped) + decay * |weights|^2 / 2, where `parts(weights)` are the first two.
+    Newton's steps from zero. A step that doesn't lower the sum is halved, and so is one to weights at which the second
+    part is below `floor`: an estimate of a risk that no true risk has, and thus overfitted.
+    """
+
+    def decayed(w: np.ndarray) -> tuple[Risk, Risk]:
+        plain, clipped = parts(w)
+        return plain + Risk(decay * w @ w / 2, decay * w, decay * np.eye(size)), clipped
+
+    total = lambda plain, clipped: plain + max(0.0, clipped)
+    w, rate, here = np.zeros(size), 1.0, decayed(np.zeros(size))
+    for _ in range(MAX_STEPS):
+        now, step = total(*(x.value for x in here)), best_step(*here)
+        gain = now - total(*(x.after(step) for x in here))
+        if gain < MIN_GAIN or rate < 1e-3:
+            break
+        there = decayed(w + rate * step)
+        if there[1].value >= floor and total(*(x.value for x in there)) <= now - 1e-4 * rate * gain:
+            w, here, rate = w + rate * step, there, min(1.0, 2 * rate)
+        else:
+            rate /= 2
     return w
 
 
@@ -168,29 +246,30 @@ def sample(rows: DataFrame, size: int) -> np.ndarray:
     return np.array(got, dtype=float).reshape(-1, len(FEATURES))
 
 
-def fit(rows: DataFrame, labels: DataFrame, positives: int = MAX_POSITIVES, unlabelled: int = MAX_UNLABELLED) -> Model:
+def fit(rows: DataFrame, labels: DataFrame, positives: int = MAX_POSITIVES) -> Model:
     """Learn from a table of (doc_id, `_f`) and (doc_id, quality), leaving out the held-out fold.
 
-    The risk is minimised over at most `positives` labelled and `unlabelled` other rows. What is a statistic
-    of the corpus covers all training rows: means and scales, and the scores from which the class prior is
-    estimated. Without positives or other rows the model says 0.5 for every text.
+    At most `positives` labelled rows are sampled. The unlabelled side is every training row: means, scales, the
+    scores that the class prior is estimated from, and the risk, for which each step reads the table of features once.
+    Without positives or other rows the model says 0.5 for every text.
     """
     training = remainder(F.col("doc_id"), FOLDS) != 0
     trusted = labels.where((F.col("quality") == 1) & training).select("doc_id").distinct()
     trusted = trusted.orderBy(F.xxhash64("doc_id"), "doc_id").limit(positives)
     rows = rows.where(training)
     n, mean, scale = statistics(rows)
-    pos, unl = sample(rows.join(F.broadcast(trusted), "doc_id"), positives), sample(rows, unlabelled)
-    if not len(pos) or not len(unl):
+    pos = with_bias(sample(rows.join(F.broadcast(trusted), "doc_id"), positives), mean, scale) if n else []
+    if not len(pos):
         return Model()
-    is_pos = np.arange(len(pos) + len(unl)) < len(pos)
-    z = expanded(np.clip((np.vstack([pos, unl]) - np.array(mean)) / np.array(scale), -8, 8))
-    side = np.where(is_pos, 0.5 / len(pos), 0.5 / len(unl))
-    plain = descend(z, lambda g: side * (1 / (1 + np.exp(-np.clip(g, -60, 60))) - is_pos), 300)
-    scores = (np.hstack([z, np.ones((len(z), 1))]) @ plain)[is_pos]
+    unlabelled = lambda w: (1 / n) * corpus_risk(rows, mean, scale, w)
+    half = 0.5 / len(pos)
+    plain = minimise(lambda w: (half * summed_risk(pos, w, 1), 0.5 * unlabelled(w)), pos.shape[1], 0.0)
+    scores = pos @ plain
     cuts = prior_cuts(scores)
     prior = estimate_prior(scores, cuts, reached(rows, Model(0.5, mean, scale, plain.tolist()), cuts), n)
-    weights = descend(z, lambda g: pu_risk_gradient(g, is_pos, prior)[1], 800)
+    # A mean over so few positives errs by about this much, so an estimate as far below zero is none of overfitting.
+    error = 1 / np.sqrt(len(pos))
+    weights = minimise(lambda w: pu_risks(unlabelled(w), pos, w, prior), pos.shape[1], -error)
     return Model(prior, mean, scale, weights.tolist())
 
 

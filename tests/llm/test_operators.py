@@ -428,21 +428,52 @@ def test_classifier_samples_each_text_of_an_id_once(spark, small):
     assert quality_classifier.sample(rows, 10).tolist() == quality_classifier.sample(rows.repartition(5), 10).tolist()
 
 
-def test_classifier_risk_gradient_and_prior():
+def _risk_by_definition(pos, unl, prior, w, clip=True):
+    """Non-negative unbiased risk, row by row."""
+    loss = lambda z: np.log1p(np.exp(-z))
+    as_pos = prior * np.mean([loss(x @ w) for x in pos])
+    negative = np.mean([loss(-x @ w) for x in unl]) - prior * np.mean([loss(-x @ w) for x in pos])
+    return as_pos + (max(0, negative) if clip else negative), negative
+
+
+def test_classifier_risk_covers_all_rows(spark, small):
+    """The risk of the whole table, its gradient and its curvature, against sums row by row and differences."""
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    rows = quality_classifier.features(docs)
+    _, mean, scale = quality_classifier.statistics(rows)
+    x = quality_classifier.with_bias(np.array([r["_f"] for r in rows.collect()]), mean, scale)
+    pos, w, prior = x[:30], np.linspace(-0.2, 0.3, x.shape[1]), 0.4
+    got = quality_classifier.corpus_risk(rows.repartition(5), mean, scale, w)
+    at = lambda v: quality_classifier.pu_risks((1 / len(x)) * quality_classifier.summed_risk(x, v, -1), pos, v, prior)
+    assert np.isclose(got.value, np.log1p(np.exp(x @ w)).sum())
+    whole = sum(quality_classifier.pu_risks((1 / len(x)) * got, pos, w, prior), start=0.0 * got)
+    assert np.isclose(whole.value, _risk_by_definition(pos, x, prior, w, clip=False)[0])
+    for i, h in enumerate(np.eye(len(w)) * 1e-5):
+        up, down = (_risk_by_definition(pos, x, prior, w + s * h, clip=False)[0] for s in (1, -1))
+        assert np.isclose(whole.gradient[i], (up - down) / 2e-5, atol=1e-6)
+        steeper = [sum(at(w + s * h), start=0.0 * got).gradient for s in (1, -1)]
+        assert np.allclose(whole.curvature[i], (steeper[0] - steeper[1]) / 2e-5, atol=1e-6)
+
+
+def test_classifier_minimum_keeps_the_risk_on_negatives_from_falling_below_zero():
+    """No other weights have a lower risk, unless the prior is far too high: then the search stops at zero."""
+    rng = np.random.default_rng(3)
+    for prior, clipped in ((0.3, False), (0.9, True)):
+        pos = np.hstack([rng.normal(1, 1, (60, 2)), np.ones((60, 1))])
+        good, bad = rng.normal(1, 1, (120, 2)), rng.normal(-1, 1, (180, 2))
+        unl = np.hstack([np.vstack([good, bad]), np.ones((300, 1))])
+        mean_risk = lambda w: (1 / 300) * quality_classifier.summed_risk(unl, w, -1)  # noqa: B023, E731
+        w = quality_classifier.minimise(lambda v: quality_classifier.pu_risks(mean_risk(v), pos, v, prior), 3, -1e-3)  # noqa: B023
+        least, negative = _risk_by_definition(pos, unl, prior, w)
+        assert negative >= -1e-3 and (negative < 0.02) == clipped
+        assert least < _risk_by_definition(pos, unl, prior, 0 * w)[0]
+        for step in rng.normal(0, 1, (200, 3)) * rng.choice([1e-3, 1e-2, 0.1, 1], (200, 1)) if not clipped else []:
+            other = w + step
+            assert _risk_by_definition(pos, unl, prior, other)[0] + 5e-5 * other @ other >= least + 5e-5 * w @ w - 1e-5
+
+
+def test_classifier_prior():
     rng = np.random.default_rng(3)
-    is_pos = np.arange(40) < 15
-    for prior, shift in ((0.3, 0.0), (0.9, 3.0)):
-        g = rng.normal(size=40) + shift * is_pos
-        loss = lambda z: np.log1p(np.exp(-z))
-        risk_pos = prior * np.mean([loss(v) for v in g[is_pos]])
-        negative = lambda s: np.mean([loss(-v) for v in s[~is_pos]]) - prior * np.mean([loss(-v) for v in s[is_pos]])  # noqa: B023, E731
-        got, grad = quality_classifier.pu_risk_gradient(g, is_pos, prior)
-        assert np.isclose(got, risk_pos + max(0, negative(g)))
-        whole = lambda s: negative(s) + prior * np.mean([loss(v) for v in s[is_pos]])  # noqa: B023, E731
-        stepped = whole if negative(g) >= 0 else lambda s: -negative(s)  # noqa: B023
-        numeric = [(stepped(g + h) - stepped(g - h)) / 2e-5 for h in np.eye(40) * 1e-5]
-        assert np.allclose(grad, numeric, atol=1e-6)
-    assert negative(g) < 0
     pos = rng.normal(2, 1, 4000)
     for share in (0.2, 0.6):
         unl = np.concatenate([rng.normal(2, 1, int(40_000 * share)), rng.normal(-2, 1, int(40_000 * (1 - share)))])
