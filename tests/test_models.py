@@ -53,6 +53,28 @@ def drug(code, product=None, generic=None):
     return d
 
 
+def test_packed_rows_come_back_whole(spark):
+    schema = "k string, n int, t string, e string, i bigint, b boolean, s struct<x: string, y: struct<z: int>>, a array<struct<x: string, l: array<string>>>"
+    rows = [
+        ("a", 1, "old", None, 1, True, None, None),
+        ("a", 2, "q\"\\ \n\t\u0001é😀 {}", "", -(2**63), False, (None, None), [("x", ["", None, "y"]), (None, None), None]),
+        ("b", 1, None, None, None, None, ("1", (7,)), []),
+        (None, 1, "null key", " ", 2**63 - 1, None, ("", (None,)), [("", [])]),
+    ]
+    df = spark.createDataFrame(rows, schema)
+    plain = latest_per_key(df, "k", [F.desc("n")])
+    packed = latest_per_key(df, "k", [F.desc("n")], packed=("t", "e", "i", "b", "s", "a"))
+    assert packed.columns == df.columns and [f.dataType for f in packed.schema] == [f.dataType for f in df.schema]
+    physical = packed._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert sorted(map(str, packed.collect())) == sorted(map(str, plain.collect())) and packed.count() == 3
+    assert physical.count("from_json") == 1 and physical.index("from_json") < physical.index("WindowGroupLimit")
+
+
+def test_packed_reports_are_the_same(spark):
+    log = raw(spark, [report("1", "1"), report("1", "10", drugs=[drug("1", "x", ["a", None])]), report("2", terms=[{"reactionmeddrapt": "t"}])], schemas.REPORTS)
+    assert sorted(map(str, stage_reports(log, packed=True).collect())) == sorted(map(str, stage_reports(log).collect()))
+
+
 SUSPECT_CASES = {
     "two suspects": ([drug("2", "C"), drug("1", " first "), drug("1", "second")], 2, "FIRST", "medicinalproduct"),
     "shortest": (
