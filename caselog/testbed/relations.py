@@ -18,6 +18,7 @@ from caselog.testbed.adapters import (
     table,
     vocabulary_log,
 )
+from caselog.testbed.operators import attributed_cases
 from caselog.testbed.registry import query
 from caselog.testbed.sql import APPLICATIONS, DIMENSIONS, SUSPECTS, VOCABULARY, with_
 
@@ -49,7 +50,7 @@ select drug_name, application_number from dim_drug left join names using (drug_n
     ),
 )
 def drug_crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    drugs = dim_drug(suspect_drugs(stage_reports(case_log(spark, sf_dir))))
+    drugs = dim_drug(suspect_drugs(attributed_cases(spark, sf_dir)))
     return relations.drug_crosswalk(drugs, stage_applications(application_log(spark, sf_dir)))
 
 
@@ -77,7 +78,7 @@ registered as (
 )
 def crosswalk_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names of the drug dimension against all names of the applications."""
-    drugs = dim_drug(suspect_drugs(stage_reports(case_log(spark, sf_dir))))
+    drugs = dim_drug(suspect_drugs(attributed_cases(spark, sf_dir)))
     registered = relations.registered_names(stage_applications(application_log(spark, sf_dir)))
     return relations.nearest_crosswalk(drugs, registered)
 
