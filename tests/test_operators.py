@@ -3,12 +3,13 @@
 import pytest
 from pyspark.sql import functions as F
 
-from caselog.operators import checks, fanout, joins
+from caselog.operators import aggregates, checks, fanout, joins
 from caselog.operators.freshness import freshness, threshold_frame
 from caselog.operators.joins import missing_from
-from caselog.plans.intermediate import reactions
+from caselog.plans.intermediate import reactions, with_suspect
 from caselog.plans.profiles import headline_outcomes
 from caselog.plans.staging import stage_applications, stage_reports
+from caselog.session import configure, in_bytes
 from caselog.sources import manifest
 from caselog.sources.selection import change_window, cohort
 
@@ -125,6 +126,15 @@ def test_recursive_sequence(spark):
     assert fanout.recursive_sequence(spark, 200).count() == 200
 
 
+def test_distinct_per_group_counts_values_once_and_no_nulls(spark):
+    rows = [("g", "a", True, False), ("g", "a", True, None), ("g", "b", None, None), ("g", None, True, True), ("h", "a", False, True), (None, "a", True, True)]
+    df = spark.createDataFrame(rows, "g string, v string, x boolean, y boolean")
+    got = aggregates.distinct_per_group(df, ["g"], F.col("v"), {"nx": F.col("x"), "ny": F.col("y")})
+    assert {tuple(r) for r in got.collect()} == {("g", 1, 0), ("h", 0, 1), (None, 1, 1)}
+    each = df.groupBy("g").agg(*[aggregates.distinct_when(F.col("v"), F.col(c)).alias(f"n{c}") for c in "xy"])
+    assert {tuple(r) for r in each.collect()} == {tuple(r) for r in got.collect()}
+
+
 # Plans, over raw logs at rest.
 
 
@@ -154,6 +164,37 @@ def test_headline_plan(spark, at_rest):
     assert "duplicate:string,patient:struct<reaction:" in physical
 
 
+def test_attributed_reports_shuffle_no_drugs(spark, at_rest):
+    log = spark.read.parquet(f"{at_rest}/cases")
+    late, early = (reactions(stage_reports(log, derive=d)) for d in (None, with_suspect))
+    physical = plan_of(early).split("== Physical Plan ==")[1]
+    assert sorted(map(str, late.collect())) == sorted(map(str, early.collect()))
+    assert physical.count("Exchange hashpartitioning") == 1
+    # the drugs are used by the first projection above the scan, and by nothing after it
+    sorted_rows = physical.index("WindowGroupLimit")
+    assert "suspects" not in physical[:sorted_rows] and "drugcharacterization" not in physical[:sorted_rows]
+
+
+def test_distinct_cases_copy_no_rows(spark, at_rest):
+    react = reactions(stage_reports(spark.read.parquet(f"{at_rest}/cases"), derive=with_suspect))
+    conditions = {"cases": ~F.col("is_probable_duplicate"), "fatal_cases": F.col("outcome_code") == "5"}
+    plan = plan_of(aggregates.distinct_per_group(react, ["drug_name_source"], F.col("safety_report_id"), conditions))
+    physical = plan.split("== Physical Plan ==")[1]
+    assert "Expand" not in physical and physical.count("Exchange hashpartitioning") == 2
+
+
+def test_splits_are_small_unless_set_smaller(spark):
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    try:
+        for given, want in (("128MB", 16 << 20), ("134217728b", 16 << 20), ("16m", 16 << 20), ("1m", 1 << 20), ("5000", 5000)):
+            spark.conf.set(key, given)
+            configure(spark)
+            assert in_bytes(spark.conf.get(key)) == want
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_newest_batch_prunes_partitions(spark, at_rest):
     plan = plan_of(stage_applications(spark.read.parquet(f"{at_rest}/apps")))
     physical = plan[plan.index("== Physical Plan ==") :]
