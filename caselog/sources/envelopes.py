@@ -24,6 +24,8 @@ from pyspark.sql.types import StructType
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK, BATCH_BYTES = 1 << 20, 4 << 20
+# of a task, and what opening a document counts as
+TASK_BYTES, OPEN_BYTES = 32 << 20, 64 << 10
 _BLANK = " \t\n\r"
 _AFTER = {*_BLANK, *",:]}"}
 
@@ -120,30 +122,50 @@ class Document:
             raise ValueError(f"more text after the document at character {self.done + self.at}")
 
 
-def documents(path: str, glob: str) -> list[str]:
-    """URIs of the files in a folder, or the file itself; any file system that Arrow knows."""
+def documents(path: str, glob: str) -> list[tuple[str, int]]:
+    """URIs and bytes of the files in a folder, or of the file itself; any file system that Arrow knows."""
     system, at = fs.FileSystem.from_uri(path)
     prefix = path[: len(path) - len(at)] if path.endswith(at) else ""
     info = system.get_file_info(at)
     if info.type == fs.FileType.NotFound:
         raise FileNotFoundError(path)
     if info.type == fs.FileType.File:
-        return [path]
+        return [(path, info.size or 0)]
     found = system.get_file_info(fs.FileSelector(at, recursive=True))
-    return sorted(prefix + f.path for f in found if f.type == fs.FileType.File and fnmatch(f.base_name, glob) and f.base_name[:1] not in "._")
+    return sorted((prefix + f.path, f.size or 0) for f in found if f.type == fs.FileType.File and fnmatch(f.base_name, glob) and f.base_name[:1] not in "._")
+
+
+def shares(files: list[tuple[str, int]], tasks: int) -> list[list[str]]:
+    """The files in runs of TASK_BYTES, or of less if there are fewer tasks then; a larger file is a run by
+    itself."""
+    size = sum(n + OPEN_BYTES for _, n in files)
+    most = min(TASK_BYTES, max(OPEN_BYTES, -(-size // tasks)))
+    runs: list[list[str]] = []
+    held = 0
+    for uri, n in files:
+        if not runs or held + n + OPEN_BYTES > most:
+            runs.append([])
+            held = 0
+        runs[-1].append(uri)
+        held += n + OPEN_BYTES
+    return runs
 
 
 class EnvelopeReader(DataSourceReader):
-    """One partition for each document."""
+    """A partition holds documents of some size together; many small ones cost no task each."""
 
     def __init__(self, options: dict[str, str]) -> None:
         self.path, self.glob, self.field = options["path"], options.get("pathglobfilter", "*"), options.get("field", "results")
+        self.tasks = int(options.get("tasks", "1"))
 
     def partitions(self) -> list[InputPartition]:
-        return [InputPartition(uri) for uri in documents(self.path, self.glob)]
+        return [InputPartition(uris) for uris in shares(documents(self.path, self.glob), self.tasks)]
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
-        uri = partition.value
+        for uri in partition.value:
+            yield from self.read_document(uri)
+
+    def read_document(self, uri: str) -> Iterator[pa.RecordBatch]:
         system, at = fs.FileSystem.from_uri(uri)
 
         def batch(held: list[str], first: int) -> pa.RecordBatch:
@@ -167,7 +189,7 @@ class EnvelopeReader(DataSourceReader):
 
 
 class EnvelopeSource(DataSource):
-    """Options: path, pathGlobFilter, field."""
+    """Options: path, pathGlobFilter, field, tasks (how many there should be at least)."""
 
     @classmethod
     def name(cls) -> str:
@@ -189,6 +211,7 @@ def stream_envelope(
     A document that isn't whole or well formed fails the load. Items must fit in memory, documents need not.
     """
     spark.dataSource.register(EnvelopeSource)
-    items = spark.read.format("json_envelope").options(pathGlobFilter=glob, field=field).load(path)
+    tasks = spark.sparkContext.defaultParallelism
+    items = spark.read.format("json_envelope").options(pathGlobFilter=glob, field=field, tasks=tasks).load(path)
     typed = F.from_json("item", schema, {"mode": "FAILFAST"})
     return items.select(typed.alias("_typed"), "file", "seq").select("_typed.*", "file", "seq", F.lit(pulled_at).alias("_pulled_at"))

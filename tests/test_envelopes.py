@@ -10,7 +10,7 @@ from itertools import chain
 import pytest
 from pyspark.sql.types import StructType
 
-from caselog.sources.envelopes import Document, stream_envelope
+from caselog.sources.envelopes import TASK_BYTES, Document, shares, stream_envelope
 
 ODD = {
     "meta": {"results": {"skip": 0, "total": 9}, "text": "a \"quoted\" [ ] { } \\ end", "list": [{"id": "no item"}]},
@@ -75,6 +75,19 @@ def test_memory_does_not_grow_with_the_document():
     assert peaks[1] < 1.2 * peaks[0] < 20 << 20
 
 
+def test_small_documents_share_a_task(spark, tmp_path):
+    files = [(f"f{i:05}", 180_000) for i in range(10_000)]
+    runs = shares(files, 12)
+    assert [u for r in runs for u in r] == [u for u, _ in files] and len(runs) < 80
+    assert len(shares(files[:24], 12)) in (12, 24) and shares([], 12) == []
+    assert shares([("a", 1), ("b", 10 * TASK_BYTES), ("c", 1)], 1) == [["a"], ["b"], ["c"]]
+    for i in range(300):
+        (tmp_path / f"{i:03}.json").write_text(json.dumps({"results": [{"id": f"{i}-{k}"} for k in range(3)]}))
+    rows = stream_envelope(spark, str(tmp_path), StructType.fromDDL("id string"), "now")
+    assert rows.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
+    assert sorted((r.id, r.seq, r.file[-8:]) for r in rows.collect()) == sorted((f"{i}-{k}", k, f"{i:03}.json") for i in range(300) for k in range(3))
+
+
 def test_typed_rows_of_plain_and_gzipped_documents(spark, tmp_path):
     folder = tmp_path / "in [x] y"
     (folder / "deep").mkdir(parents=True)
