@@ -21,7 +21,9 @@ from caselog.sources.storage import save
 
 WINDOW = 13
 BROADCAST_HASHES = 1_000_000
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: Runs of any characters but the ASCII ones that are neither letters nor digits. Those are listed one by one, as tasks
+#: of one executor that search for negated ranges at the same time slow each other down, several times over.
+WORD = "[^" + "".join(f"\\x{c:02X}" for c in range(128) if not chr(c).isalnum()) + "]+"
 SHARE = 20
 
 

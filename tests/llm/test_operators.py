@@ -1,5 +1,6 @@
 """Each operator against brute force, on the smallest test table and on odd rows."""
 
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -178,6 +179,27 @@ def test_decontamination(spark, both, texts, monkeypatch, limit):
         assert decontamination.drop_contaminated(docs, bench).count() == sum(not w[-1] for w in want)
 
 
+def test_decontamination_finds_words_quickly(spark, small):
+    ranges = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    chars = [chr(c) for c in (*range(0x180), 0x2028, 0x3000, 0xFFFD, 0x1F600)]
+    odd = spark.createDataFrame([(f"a{c}b{c}{c}C{c}9",) for c in chars], "text string")
+    found = [F.regexp_extract_all("text", F.lit(p), F.lit(0)) for p in (decontamination.WORD, ranges)]
+    assert odd.where(found[0] != found[1]).count() == 0
+
+    line = "The quick brown fox, and 12 lazy dogs of K\u00f6ln. "
+    long = spark.range(64, numPartitions=8).select(F.repeat(F.concat(F.lit(line), "id"), 4000).alias("text"))
+
+    def seconds(pattern):
+        def once():
+            began = time.perf_counter()
+            assert long.agg(F.sum(F.regexp_count("text", F.lit(pattern)))).first()[0] == 64 * 4000 * 10 + 64
+            return time.perf_counter() - began
+
+        return min(once() for _ in range(3))
+
+    assert seconds(decontamination.WORD) < seconds(ranges) / 2
+
+
 def test_packing(both):
     from tokenizers import Tokenizer
 
