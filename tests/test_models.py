@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from caselog.operators import checks
+from caselog.operators import checks, current
 from caselog.operators.current import latest_per_key, newest_batch
 from caselog.operators.joins import Dimension, attach_dimension
 from caselog.plans import profiles, relations
@@ -70,6 +70,21 @@ def test_packed_rows_come_back_whole(spark):
     assert physical.count("from_json") == 1 and physical.index("from_json") < physical.index("WindowGroupLimit")
 
 
+@pytest.mark.parametrize("words", [22, 6, 1])
+def test_only_rows_of_repeated_keys_are_collapsed(spark, monkeypatch, words):
+    monkeypatch.setattr(current, "_WORDS", words)
+    many = [(f"k{i % 700}", i % 3 if i % 5 else None, i, f"t{i}") for i in range(1000)]
+    hot = [("hot", 1, i, str(i)) for i in range(500)]
+    df = spark.createDataFrame([*many, *hot, (None, 1, 1, "a"), (None, 1, 2, "b"), (None, None, 3, "c")], "k string, g int, n int, t string").repartition(5)
+    for keys, packed in ((["k"], ()), (["k", "g"], ("t",))):
+        plain = latest_per_key(df, keys, [F.desc("n")])
+        apart = latest_per_key(df, keys, [F.desc("n")], packed=packed, apart=True)
+        assert apart.columns == df.columns
+        assert sorted(map(str, apart.collect())) == sorted(map(str, plain.collect()))
+    plan = latest_per_key(df, "k", [F.desc("n")], apart=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1 and plan.index("LeftAnti") < plan.index("Window [") < plan.index("LeftSemi")
+
+
 def test_packed_reports_are_the_same(spark):
     log = raw(spark, [report("1", "1"), report("1", "10", drugs=[drug("1", "x", ["a", None])]), report("2", terms=[{"reactionmeddrapt": "t"}])], schemas.REPORTS)
     assert sorted(map(str, stage_reports(log, packed=True).collect())) == sorted(map(str, stage_reports(log).collect()))
