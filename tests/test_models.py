@@ -1,6 +1,8 @@
 """Staging, intermediate and star models on hand-written records."""
 
 import json
+import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -20,6 +22,8 @@ from caselog.plans.staging import (
 from caselog.plans.star import dim_date, dim_drug, dim_outcome, dim_reaction, fact_reactions
 from caselog.plans.warehouse import Raw, all_checks, build, publish
 from caselog.sources import schemas
+from caselog.sources.storage import shared_root
+from caselog.testbed import QUERIES
 
 
 def raw(spark, records, schema, **meta):
@@ -404,6 +408,43 @@ def test_checks_scan_the_fact_once_and_fan_nothing_out(spark, seed, tmp_path):
     assert replace(made, fact=made.fact.limit(1)).counts("fact") is None
 
 
+def test_keys_are_checked_as_bytes_that_differ(spark):
+    # hashes, their upper-case form, the text of their bytes, and texts one byte longer
+    keys = ["61" * 16, "a" * 16, "a" * 16 + "\0", "ab" * 16, "AB" * 16, "g" * 32, "", "a" * 15, "a" * 15 + "\0"]
+    child = spark.createDataFrame([*[(k, k, k) for k in keys], ("g" * 32, "cd" * 16, "61" * 16), (None, None, None)], "u string, fk string, c string")
+    parent = spark.createDataFrame([(k,) for k in keys], "p string")
+    row = lambda *missing: {"fk": ("fk", parent.where(~F.col("p").isin(*missing)), "p")}
+    found = checks.key_checks(child, row("61" * 16, ""), "u", {"all": ("c", parent.unionByName(spark.createDataFrame([("6161",)], "p string")).withColumnRenamed("p", "c"))})
+    assert dict(map(tuple, found.collect())) == {"fk": 3, "all": 1, "unique": 1}
+    assert "check#" in (plan := found._jdf.queryExecution().optimizedPlan().toString()) and "unhex" in plan
+
+
+def test_the_star_is_written_once_and_dense(spark, tmp_path):
+    at = lambda name: str(tmp_path / f"{name}.parquet")
+    spark.range(60).selectExpr(
+        "id % 40 as l_orderkey", "id as l_partkey", "id % 7 as l_suppkey", "1 as l_linenumber", "double(id) as l_quantity", "double(100 + id) as l_extendedprice",
+        "'N' as l_returnflag", "'O' as l_linestatus", "timestamp '1996-01-02 00:00:00' as l_shipdate",
+    ).write.parquet(at("lineitem"))
+    spark.range(20).selectExpr("id as o_orderkey", "id as o_custkey", "'O' as o_orderstatus", "'1-X' as o_orderpriority", "timestamp '1996-01-02 00:00:00' as o_orderdate").write.parquet(at("orders"))
+    spark.range(5).selectExpr("id as s_suppkey", "concat('s', id) as s_name").write.parquet(at("supplier"))
+    spark.range(5).selectExpr("id as p_partkey", "concat('p', id) as p_name", "'b' as p_brand", "'t' as p_type", "int(id) as p_size").write.parquet(at("part"))
+    root = f"{shared_root(spark).removeprefix('file:')}/caselog"
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    found = {r.kind: r.n_checks for r in QUERIES["star_checks"](spark, str(tmp_path)).collect()}
+    assert found == {"unique": 11, "not_null": 33, "accepted": 3, "relationship": 4, "complete": 1, "children": 1, "grain": 1}
+    made = {re.sub("-.*", "", d): d for d in set(os.listdir(root)) - before}
+    assert sorted(made) == ["applications", "reports", "star", "stg_reports", "vocabulary"]
+    for path in (made["stg_reports"], made["reports"], f"{made['star']}/fact_reactions"):
+        assert any(f.endswith(".zstd.parquet") for f in os.listdir(f"{root}/{path}"))
+
+
+def test_reports_logged_once_are_not_shuffled(spark, seed):
+    tables = small_raw(spark, [*GOOD, report("a", "2")])
+    plan = stage_reports(tables.reports, packed=True, apart=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1 and plan.index("LeftAnti") < plan.index("Window [") < plan.index("LeftSemi")
+    assert sorted(map(str, build(tables, seed).staged.collect())) == sorted(map(str, stage_reports(tables.reports).collect()))
+
+
 def test_reconcile_rows(spark):
     log = raw(
         spark,
